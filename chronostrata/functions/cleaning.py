@@ -17,8 +17,9 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(F.trim(_col(c)), F.lit(""))
 
 
-def to_int(c: Column | str) -> Column:
-    return _col(c).try_cast("int")
+def to_int(c: Column | str, kind: str = "int") -> Column:
+    """Text to a whole number; `kind="bigint"` for key ranges beyond 2^31."""
+    return _col(c).try_cast(kind)
 
 
 def to_date_lenient(c: Column | str) -> Column:
@@ -58,9 +59,9 @@ def normalize_phone(c: Column | str) -> Column:
     )
 
 
-def conform_key(c: Column | str, pattern: str = r"^[A-Za-z]+-") -> Column:
+def conform_key(c: Column | str, pattern: str = r"^[A-Za-z]+-", kind: str = "int") -> Column:
     """One spelling of a business key: the source prefix and leading zeros are dropped."""
-    return to_int(F.regexp_replace(F.trim(_col(c).cast("string")), pattern, ""))
+    return to_int(F.regexp_replace(F.trim(_col(c).cast("string")), pattern, ""), kind)
 
 
 def amount(price: Column | str, quantity: Column | str) -> Column:

@@ -33,19 +33,24 @@ def vector_top_k(
     block, so what a task holds does not grow with their number. A task scores its vectors with
     one matrix product per Arrow batch and sends on at most `k` per query and batch.
     """
-    query_type = queries.schema[query_id].dataType
+    # Tasks name a query by its number in the block; the block's ids travel with the plan.
     vec_type = vectors.schema[vec_id].dataType
     schema = T.StructType(
-        [T.StructField(query_id, query_type), T.StructField(vec_id, vec_type), T.StructField("score", T.DoubleType())]
+        [T.StructField("_nth", T.LongType()), T.StructField(vec_id, vec_type), T.StructField("score", T.DoubleType())]
     )
     result = None
     for ids, matrix in _blocks(queries.select(query_id, embedding), block):
-        scored = vectors.select(vec_id, embedding).mapInArrow(_scorer(ids, matrix, k, query_id, vec_id), schema)
+        scored = vectors.select(vec_id, embedding).mapInArrow(_scorer(matrix, k, vec_id), schema)
+        names = F.array(*[F.lit(i) for i in ids]).cast(T.ArrayType(queries.schema[query_id].dataType))
+        best = Window.partitionBy("_nth").orderBy(F.desc("score"), F.asc(vec_id))
+        scored = scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        scored = scored.select(F.get(names, F.col("_nth").cast("int")).alias(query_id), vec_id, "score", "rank")
         result = scored if result is None else result.unionByName(scored)
     if result is None:
-        return queries.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(0))
-    best = Window.partitionBy(query_id).orderBy(F.desc("score"), F.asc(vec_id))
-    return result.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        return queries.select(
+            query_id, F.lit(None).cast(vec_type).alias(vec_id), F.lit(0.0).alias("score"), F.lit(0).alias("rank")
+        )
+    return result
 
 
 def _blocks(queries: DataFrame, block: int) -> Iterator[tuple[list, np.ndarray]]:
@@ -61,7 +66,7 @@ def _blocks(queries: DataFrame, block: int) -> Iterator[tuple[list, np.ndarray]]
         yield ids, _unit(np.asarray(rows, dtype="float64"))
 
 
-def _scorer(ids: list, matrix: np.ndarray, k: int, query_id: str, vec_id: str):
+def _scorer(matrix: np.ndarray, k: int, vec_id: str):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
@@ -74,15 +79,15 @@ def _scorer(ids: list, matrix: np.ndarray, k: int, query_id: str, vec_id: str):
             floor = np.partition(scores, -take, axis=1)[:, -take]
             names = found.to_numpy(zero_copy_only=False)
             picked_q, picked_v = [], []
-            for q in range(len(ids)):
+            for q in range(len(matrix)):
                 at_least = np.nonzero(scores[q] >= floor[q])[0]
                 best = at_least[np.lexsort((names[at_least], -scores[q, at_least]))[:take]]
                 picked_q.append(np.full(take, q))
                 picked_v.append(best)
             q, v = np.concatenate(picked_q), np.concatenate(picked_v)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([ids[i] for i in q]), found.take(pa.array(v)), pa.array(scores[q, v])],
-                names=[query_id, vec_id, "score"],
+                [pa.array(q, pa.int64()), found.take(pa.array(v)), pa.array(scores[q, v])],
+                names=["_nth", vec_id, "score"],
             )
 
     return score

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,7 +30,9 @@ def clean_stream(staged: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
 
 def drop_repeats(events: DataFrame, keys: list[str], ts_col: str, delay: str) -> DataFrame:
     """Repeated events by key, as far apart as `delay`. Older repeats need `insert_if_absent`."""
-    return events.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
+    # A watermark takes zoned time only.
+    timed = events.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
+    return timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(keys).drop("_event_time")
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, partition_by: str | None = None) -> StreamingQuery:
