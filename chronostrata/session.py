@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.files.maxPartitionBytes": str(256 << 20),
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -54,6 +54,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder and go on from there: it is not computed again, and a
-    lost executor cannot change what was read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    lost executor cannot change what was read. Parquet rather than `checkpoint()`, whose rows
+    are read whole: later passes over a cut need a few columns each."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/cuts/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

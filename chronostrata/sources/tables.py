@@ -32,7 +32,9 @@ def write_version(df: DataFrame, path: str, version: int | None = None, partitio
     if version is None:
         version = done[-1] + 1 if done else 0
     if version not in done:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(version_path(path, version))
+        # A dynamic overwrite would leave no marker.
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*partition_by).parquet(version_path(path, version))
     return version
 
 
@@ -56,10 +58,19 @@ def replace_partitions(df: DataFrame, path: str, column: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
-def write_history(df: DataFrame, path: str, key: str, valid_to: str = "valid_to", version: int | None = None) -> int:
-    """A history table laid out for its readers: current rows in a folder of their own, and
-    files sorted by key, so that a filter on either skips files by partition or by the
-    minimum and maximum parquet keeps."""
-    laid_out = df.withColumn("is_current", F.col(valid_to).isNull())
-    laid_out = laid_out.repartition("is_current", key).sortWithinPartitions(key)
+def write_history(
+    df: DataFrame,
+    path: str,
+    key: str,
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    version: int | None = None,
+) -> int:
+    """A history table laid out for its readers: current rows in a folder of their own
+    (`is_current=1`) and files in ranges of the key, so that a filter on either skips files by
+    partition or by the minimum and maximum parquet keeps. A key with very many versions takes
+    several ranges."""
+    laid_out = df.withColumn("is_current", F.col(valid_to).isNull().cast("int"))
+    order = ["is_current", key, valid_from]
+    laid_out = laid_out.repartitionByRange(*order).sortWithinPartitions(*order)
     return write_version(laid_out, path, version, partition_by=["is_current"])

@@ -13,8 +13,9 @@ from chronostrata.suite.history import daily_history
 
 @query("dq_report", """
     WITH l AS (
-      SELECT count(*) AS n, count_if(NOT (l_quantity > 0)) AS q, count_if(NOT (l_extendedprice >= 0)) AS p,
-             count_if(l_orderkey IS NULL) AS k, count_if(NOT length(l_returnflag) <= 1) AS f FROM lineitem)
+      SELECT count(*) AS n, count(CASE WHEN NOT (l_quantity > 0) THEN 1 END) AS q,
+             count(CASE WHEN NOT (l_extendedprice >= 0) THEN 1 END) AS p, count(CASE WHEN l_orderkey IS NULL THEN 1 END) AS k,
+             count(CASE WHEN NOT length(l_returnflag) <= 1 THEN 1 END) AS f FROM lineitem)
     SELECT 'lineitem.not_empty' AS "check", n > 0 AS passed, n AS actual, CAST(1 AS BIGINT) AS expected FROM l
     UNION ALL SELECT 'lineitem.l_quantity_positive', q = 0, q, 0 FROM l
     UNION ALL SELECT 'lineitem.l_extendedprice_not_negative', p = 0, p, 0 FROM l
