@@ -23,7 +23,6 @@ DECIMAL = r"^\d+(\.\d+)?\z"
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}\z"
 NON_DIGIT = r"\D"
 DATE_PATTERN = "yyyy-M-d"
-DATE_KEY_PATTERN = "yyyyMMdd"
 
 # Text length limits of the cleaned and mart tables.
 TEXT_LIMITS = {

@@ -69,7 +69,9 @@ def amount(price: Column | str, quantity: Column | str) -> Column:
 
 
 def date_key(d: Column | str) -> Column:
-    return F.date_format(_col(d), fv.DATE_KEY_PATTERN).cast("int")
+    """YYYYMMDD as a number, by arithmetic: no text is made and no time zone taken."""
+    d = _col(d)
+    return F.year(d) * 10000 + F.month(d) * 100 + F.day(d)
 
 
 def segment(c: Column | str, threshold: float = fv.PREMIUM_THRESHOLD) -> Column:

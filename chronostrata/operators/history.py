@@ -22,6 +22,7 @@ def scd2_backfill(
     tie: Sequence[str] = (),
     grain: str = "day",
     carry: Sequence[str] = (),
+    previous: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Periods of unchanged `attrs` from an event log.
@@ -29,7 +30,9 @@ def scd2_backfill(
     grain="day": the last event of a day stands for the day; periods are dates. A key then has
     at most one row per day, so its window stays small however many events it has.
     grain="ts": every change counts; `(ts_col, *tie)` must order the events of a key totally.
-    `carry` names columns taken over from the event that opened the period.
+    `carry` names columns taken over from the event that opened the period, `previous` those
+    whose value in the period before is added as `previous_<column>`. All windows share one
+    shuffle and one sort.
     """
     if grain not in ("day", "ts"):
         raise ValueError(f"grain must be 'day' or 'ts', not {grain!r}")
@@ -40,8 +43,12 @@ def scd2_backfill(
         at, order, hot_rows = F.col("_day"), ("_day",), None
     rows = in_order(log.withColumn("hashdiff", hashdiff(*attrs)), key, order, hot_rows)
     changes = with_prev(rows, {"_before": "hashdiff"}).where(differs("hashdiff", "_before"))
-    periods = with_next(changes, {"valid_to": at}).plain()
-    return periods.select(key, *attrs, "hashdiff", *carry, at.alias("valid_from"), "valid_to")
+    periods = with_next(changes, {"valid_to": at})
+    if previous:
+        periods = with_prev(periods, {f"previous_{c}": c for c in previous})
+    return periods.plain().select(
+        key, *attrs, "hashdiff", *carry, at.alias("valid_from"), "valid_to", *[f"previous_{c}" for c in previous]
+    )
 
 
 def _state(snapshot: DataFrame, key: str, attrs: Sequence[str], eff_col: str) -> DataFrame:
@@ -69,6 +76,28 @@ def scd2_opened(dim: DataFrame, snapshot: DataFrame, key: str, attrs: Sequence[s
     return anti(opened, dim, [key, "valid_from"])
 
 
+def scd2_kept(
+    dim: DataFrame,
+    snapshot: DataFrame,
+    key: str,
+    attrs: Sequence[str],
+    eff_col: str,
+    run_ts: dt.datetime | None = None,
+) -> DataFrame:
+    """Stored rows after a snapshot: current ones that change get their end, the rest stay.
+
+    Only current rows meet the snapshot, one row per key on either side; closed rows pass
+    through without a shuffle.
+    """
+    updates = {"valid_to": F.when(_is_newer(), F.col("_eff"))}
+    if run_ts is not None:
+        now = F.lit(run_ts).cast("timestamp_ntz")
+        updates["updated_at"] = F.when(_is_newer(), now).otherwise(F.col("updated_at"))
+    state = _state(snapshot, key, attrs, eff_col).select(key, "_new_hash", "_eff")
+    current = dim.where(is_current()).join(state, key, "left").withColumns(updates).select(*dim.columns)
+    return dim.where(~is_current()).unionByName(current)
+
+
 def scd2_apply(
     dim: DataFrame,
     snapshot: DataFrame,
@@ -82,19 +111,13 @@ def scd2_apply(
     changes nothing. A change on the day the current version began, or before it, is ignored;
     `not_newer` lists such rows and `scd2_repair` takes them in.
 
-    Only current rows and the snapshot are joined, one row per key on either side; closed rows
-    pass through. With `run_ts`, `created_at`/`updated_at` are kept. Surrogate keys of opened
-    rows are NULL until `assign_keys` numbers them.
+    With `run_ts`, `created_at`/`updated_at` are kept. A dimension with surrogate keys takes
+    `scd2_kept` and `scd2_opened` by themselves, to number the opened rows in between.
     """
     opened = scd2_opened(dim, snapshot, key, attrs, eff_col)
-    updates = {"valid_to": F.when(_is_newer(), F.col("_eff"))}
     if run_ts is not None:
         opened = stamp(opened, run_ts)
-        now = F.lit(run_ts).cast("timestamp_ntz")
-        updates["updated_at"] = F.when(_is_newer(), now).otherwise(F.col("updated_at"))
-    state = _state(snapshot, key, attrs, eff_col).select(key, "_new_hash", "_eff")
-    current = dim.where(is_current()).join(state, key, "left").withColumns(updates).select(*dim.columns)
-    return dim.where(~is_current()).unionByName(current).unionByName(opened, allowMissingColumns=True)
+    return scd2_kept(dim, snapshot, key, attrs, eff_col, run_ts).unionByName(opened, allowMissingColumns=True)
 
 
 def not_newer(dim: DataFrame, snapshot: DataFrame, key: str, attrs: Sequence[str], eff_col: str) -> DataFrame:
@@ -199,15 +222,14 @@ def scd6(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Periods of `attr` with its previous and its current value in every row."""
-    periods = scd2_backfill(events, key, [attr], ts_col, tie, grain, hot_rows=hot_rows)
-    before, now = f"previous_{attr}", f"current_{attr}"
+    periods = scd2_backfill(events, key, [attr], ts_col, tie, grain, previous=[attr], hot_rows=hot_rows)
+    now = f"current_{attr}"
     if grain == "day":
-        by_time = Window.partitionBy(key).orderBy("valid_from")
-        whole = by_time.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return periods.withColumns({before: F.lag(attr).over(by_time), now: F.last(attr).over(whole)})
-    told = with_prev(in_order(periods, key, "valid_from", hot_rows), {before: attr}).plain()
-    # One open period per key.
-    return told.join(periods.where(is_current()).select(key, F.col(attr).alias(now)), key)
+        whole = Window.partitionBy(key).orderBy("valid_from")
+        whole = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return periods.withColumn(now, F.last(attr).over(whole))
+    # A key may have any number of periods here, but only one open.
+    return periods.join(periods.where(is_current()).select(key, F.col(attr).alias(now)), key)
 
 
 def stamp(df: DataFrame, run_ts: dt.datetime, columns: Sequence[str] = ("created_at", "updated_at")) -> DataFrame:

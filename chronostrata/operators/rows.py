@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,14 +13,12 @@ from pyspark.sql import functions as F
 def split_rejects(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy every rule, and the others with the names of the broken rules in
     `reject_reason`. A rule that gives NULL counts as broken."""
-    marked = with_reject_reason(df, rules)
-    return (
-        marked.where(F.col("reject_reason").isNull()).drop("reject_reason"),
-        marked.where(F.col("reject_reason").isNotNull()),
-    )
+    sound = reduce(and_, [F.coalesce(rule, F.lit(False)) for rule in rules.values()])
+    return df.where(sound), with_reject_reason(df.where(~sound), rules)
 
 
 def with_reject_reason(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """`reject_reason` lists the broken rules; it is NULL where all hold."""
     broken = [F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]
     return df.withColumn("reject_reason", F.nullif(F.concat_ws(",", *broken), F.lit("")))
 

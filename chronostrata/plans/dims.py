@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from chronostrata import fixed_values as fv
 from chronostrata.functions import as_date, date_key, valid_at
-from chronostrata.operators.history import scd2_apply, scd2_backfill, stamp
+from chronostrata.operators.history import scd2_backfill, scd2_kept, scd2_opened, stamp
 from chronostrata.operators.keys import assign_keys, next_key
 
 
@@ -77,11 +77,10 @@ def dim_history_increment(
     bk: str = "customer_bk",
 ) -> DataFrame:
     """Next version of a history dimension; opened rows get numbers above the ones in use."""
-    applied = scd2_apply(dim, snapshot.withColumnRenamed(key, bk), bk, attrs, eff_col, run_ts)
-    kept = applied.where(F.col(sk).isNotNull())
-    opened = applied.where(F.col(sk).isNull()).drop(sk)
+    snapshot = snapshot.withColumnRenamed(key, bk)
+    opened = scd2_opened(dim, snapshot, bk, attrs, eff_col)
     numbered = assign_keys(opened, [bk, "valid_from"], sk, start=next_key(dim, sk))
-    return kept.unionByName(numbered)
+    return scd2_kept(dim, snapshot, bk, attrs, eff_col, run_ts).unionByName(stamp(numbered, run_ts))
 
 
 def normalise_attribute(dim: DataFrame, attr: str, sk: str) -> tuple[DataFrame, DataFrame]:

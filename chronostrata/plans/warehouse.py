@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,32 +19,44 @@ from chronostrata.plans import cleaning, dims, sales
 from chronostrata.plans.status import mart_status_daily
 from chronostrata.operators.keys import assign_keys
 from chronostrata.operators.upsert import insert_if_absent, upsert_newer
-from chronostrata.sources.schemas import CLEANED, INTEGRATED, MARTS, to_layout
+from chronostrata.sources.schemas import CLEANED, INTEGRATED, MARTS, to_layout, with_key_type
 from chronostrata.sources.tables import append_rows, read_table, write_version
 from chronostrata.functions import effective_ts
 
 CUSTOMER_ATTRS = ("email", "phone", "city")
+LAYERS = {"ods": CLEANED, "dds": INTEGRATED, "dm": MARTS}
 
 
-def _publish(df: DataFrame, root: str, layer: str, name: str, layout) -> DataFrame:
-    path = f"{root}/{layer}/{name}"
-    write_version(to_layout(df, layout[name]), path)
-    return read_table(df.sparkSession, path)
+@dataclass(frozen=True)
+class Warehouse:
+    """Where the layers are and how wide their business keys are."""
 
+    root: str
+    key_type: str = "int"
 
-def _reject(bad: DataFrame, root: str, name: str) -> None:
-    write_version(bad, f"{root}/rejects/{name}")
+    def path(self, layer: str, name: str) -> str:
+        return f"{self.root}/{layer}/{name}"
 
+    def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
+        return read_table(spark, self.path(layer, name))
 
-def _cleaned(root: str, name: str, split: tuple[DataFrame, DataFrame]) -> DataFrame:
-    good, bad = split
-    _reject(bad, root, name)
-    return _publish(good, root, "ods", name, CLEANED)
+    def publish(self, df: DataFrame, layer: str, name: str) -> DataFrame:
+        layout = with_key_type(LAYERS[layer][name], self.key_type)
+        write_version(to_layout(df, layout), self.path(layer, name))
+        return self.read(df.sparkSession, layer, name)
+
+    def publish_clean(self, name: str, split: tuple[DataFrame, DataFrame]) -> DataFrame:
+        good, bad = split
+        self.reject(bad, name)
+        return self.publish(good, "ods", name)
+
+    def reject(self, bad: DataFrame, name: str) -> None:
+        write_version(bad, self.path("rejects", name))
 
 
 def full_load(
     staged: Mapping[str, DataFrame],
-    root: str,
+    at: Warehouse,
     run_ts: dt.datetime,
     calendar_from: dt.date = fv.CALENDAR_FROM,
     calendar_to: dt.date = fv.CALENDAR_TO,
@@ -52,23 +65,23 @@ def full_load(
     """Staging (customers, orders, order_items, products) to cleaned tables, dimensions, fact,
     checks and marts. Stops before the marts when a check fails."""
     spark = staged["orders"].sparkSession
-    orders = _cleaned(root, "orders", cleaning.clean_orders(staged["orders"]))
-    items = _cleaned(root, "order_items", cleaning.clean_items(staged["order_items"]))
-    products = _cleaned(root, "products", cleaning.clean_products(staged["products"]))
-    states, bad = cleaning.customer_states(staged["customers"])
-    _reject(bad, root, "customers")
-    customers = _publish(cleaning.customer_snapshot(states), root, "ods", "customers", CLEANED)
-
-    dates = _publish(dims.dim_date(spark, calendar_from, calendar_to), root, "dds", "dim_date", INTEGRATED)
-    product = _publish(dims.dim_product(products), root, "dds", "dim_product", INTEGRATED)
+    orders = at.publish_clean("orders", cleaning.clean_orders(staged["orders"], at.key_type))
+    items = at.publish_clean("order_items", cleaning.clean_items(staged["order_items"], at.key_type))
+    products = at.publish_clean("products", cleaning.clean_products(staged["products"], at.key_type))
+    states, bad = cleaning.customer_states(staged["customers"], at.key_type)
+    at.reject(bad, "customers")
+    customers = at.publish(cleaning.customer_snapshot(states), "ods", "customers")
+
+    dates = at.publish(dims.dim_date(spark, calendar_from, calendar_to), "dds", "dim_date")
+    product = at.publish(dims.dim_product(products), "dds", "dim_product")
     # History is built from all staged states; the cleaned snapshot holds only the newest one.
-    customer = _publish(
+    customer = at.publish(
         dims.dim_history(states, "customer_id", CUSTOMER_ATTRS, "eff_ts", ("_load_ts", "_load_id"), "customer_sk", run_ts),
-        root, "dds", "dim_customer", INTEGRATED,
+        "dds", "dim_customer",
     )
     facts = sales.fact_sales(orders, items, product, customer)
     facts = assign_keys(facts, ["date_key", "customer_sk", "product_sk", "quantity", "amount"], "sale_id")
-    fact = _publish(facts, root, "dds", "fact_sales", INTEGRATED)
+    fact = at.publish(facts, "dds", "fact_sales")
 
     q.run_gate([
         q.check_not_empty(customer, "dim_customer"),
@@ -80,70 +93,70 @@ def full_load(
     return {
         "customers": customers, "orders": orders, "order_items": items, "products": products,
         "dim_date": dates, "dim_product": product, "dim_customer": customer, "fact_sales": fact,
-        **marts(fact, dates, product, customer, root, threshold),
+        **marts(fact, dates, product, customer, at, threshold),
     }
 
 
 def marts(
-    fact: DataFrame, dates: DataFrame, product: DataFrame, customer: DataFrame, root: str,
+    fact: DataFrame, dates: DataFrame, product: DataFrame, customer: DataFrame, at: Warehouse,
     threshold: float = fv.PREMIUM_THRESHOLD,
 ) -> dict[str, DataFrame]:
     """Scheduled refresh of the marts."""
     daily = sales.mart_daily_sales(fact, dates, product, threshold)
     profile = sales.mart_customer_360(fact, dates, customer)
     return {
-        "mart_daily_sales": _publish(daily, root, "dm", "mart_daily_sales", MARTS),
-        "mart_customer_360": _publish(profile, root, "dm", "mart_customer_360", MARTS),
+        "mart_daily_sales": at.publish(daily, "dm", "mart_daily_sales"),
+        "mart_customer_360": at.publish(profile, "dm", "mart_customer_360"),
     }
 
 
-def customer_increment(staged: DataFrame, root: str, run_ts: dt.datetime) -> dict[str, DataFrame]:
+def customer_increment(staged: DataFrame, at: Warehouse, run_ts: dt.datetime) -> dict[str, DataFrame]:
     """New customer states into the cleaned snapshot (newer wins) and the history dimension.
     Replays and older states change nothing."""
     spark = staged.sparkSession
-    states, bad = cleaning.customer_states(staged)
-    _reject(bad, root, "customers")
+    states, bad = cleaning.customer_states(staged, at.key_type)
+    at.reject(bad, "customers")
     snapshot = upsert_newer(
-        read_table(spark, f"{root}/ods/customers"), states, "customer_id",
+        at.read(spark, "ods", "customers"), states, "customer_id",
         effective_ts("event_ts", "_load_ts"),
     )
-    customers = _publish(snapshot, root, "ods", "customers", CLEANED)
-    dim = read_table(spark, f"{root}/dds/dim_customer")
+    customers = at.publish(snapshot, "ods", "customers")
+    dim = at.read(spark, "dds", "dim_customer")
     delta = customers.withColumn("eff_ts", effective_ts("event_ts", "_load_ts"))
     applied = dims.dim_history_increment(dim, delta, "customer_id", CUSTOMER_ATTRS, "eff_ts", "customer_sk", run_ts)
-    return {"customers": customers, "dim_customer": _publish(applied, root, "dds", "dim_customer", INTEGRATED)}
+    return {"customers": customers, "dim_customer": at.publish(applied, "dds", "dim_customer")}
 
 
-def status_load(staged: DataFrame, root: str, run_ts: dt.datetime, as_of: dt.date, dates: DataFrame) -> dict[str, DataFrame]:
+def status_load(staged: DataFrame, at: Warehouse, run_ts: dt.datetime, as_of: dt.date, dates: DataFrame) -> dict[str, DataFrame]:
     """Status events: staging to cleaned events, full history, daily mart."""
-    events = _cleaned(root, "customer_status", cleaning.clean_status_events(staged))
+    events = at.publish_clean("customer_status", cleaning.clean_status_events(staged, at.key_type))
     history = dims.dim_history(
         events, "customer_id", ["status"], "event_ts", ("_load_ts", "_load_id"), "customer_status_sk", run_ts
     )
-    return _status_tables(events, history, root, as_of, dates)
+    return _status_tables(events, history, at, as_of, dates)
 
 
-def status_increment(staged: DataFrame, root: str, run_ts: dt.datetime, as_of: dt.date, dates: DataFrame) -> dict[str, DataFrame]:
+def status_increment(staged: DataFrame, at: Warehouse, run_ts: dt.datetime, as_of: dt.date, dates: DataFrame) -> dict[str, DataFrame]:
     """A further batch of status events: known events are skipped, the newest event of each
     customer is applied to the history."""
     spark = staged.sparkSession
-    append_rows(staged, f"{root}/stg/customer_status")
-    batch, bad = cleaning.clean_status_events(staged)
-    _reject(bad, root, "customer_status")
-    stored = read_table(spark, f"{root}/ods/customer_status")
-    events = _publish(
-        insert_if_absent(stored, batch, ["customer_id", "event_ts"]), root, "ods", "customer_status", CLEANED
+    append_rows(staged, at.path("stg", "customer_status"))
+    batch, bad = cleaning.clean_status_events(staged, at.key_type)
+    at.reject(bad, "customer_status")
+    stored = at.read(spark, "ods", "customer_status")
+    events = at.publish(
+        insert_if_absent(stored, batch, ["customer_id", "event_ts"]), "ods", "customer_status"
     )
     newest = cleaning.snapshot_latest(events, "customer_id", F.col("event_ts"))
-    dim = read_table(spark, f"{root}/dds/dim_customer_status")
+    dim = at.read(spark, "dds", "dim_customer_status")
     history = dims.dim_history_increment(
         dim, newest, "customer_id", ["status"], "event_ts", "customer_status_sk", run_ts
     )
-    return _status_tables(events, history, root, as_of, dates)
+    return _status_tables(events, history, at, as_of, dates)
 
 
-def _status_tables(events: DataFrame, history: DataFrame, root: str, as_of: dt.date, dates: DataFrame) -> dict[str, DataFrame]:
-    dim = _publish(history, root, "dds", "dim_customer_status", INTEGRATED)
+def _status_tables(events: DataFrame, history: DataFrame, at: Warehouse, as_of: dt.date, dates: DataFrame) -> dict[str, DataFrame]:
+    dim = at.publish(history, "dds", "dim_customer_status")
     daily = mart_status_daily(dim, dates, as_of)
-    mart = _publish(daily, root, "dm", "mart_customer_status_daily", MARTS)
+    mart = at.publish(daily, "dm", "mart_customer_status_daily")
     return {"customer_status": events, "dim_customer_status": dim, "mart_customer_status_daily": mart}

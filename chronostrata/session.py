@@ -8,15 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution sizes partitions at run time and splits skewed join partitions, also
-# when that costs one more shuffle. Broadcasts stay size-checked: no job here hints one
-# without a proven bound, so this threshold is the only thing that decides.
+# when that costs one more shuffle. The broadcast threshold stays at Spark's default: estimates
+# come from compressed file sizes, and no job here hints a broadcast without a proven bound.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.files.maxPartitionBytes": str(256 << 20),
 }
 

@@ -78,6 +78,12 @@ def columns_of(layout: str) -> list[tuple[str, str]]:
     return [tuple(part.strip().split(" ")) for part in layout.split(", ")]
 
 
+def with_key_type(layout: str, kind: str) -> str:
+    """The layout with business keys of another type, for more than 2^31 of them."""
+    keyed = ((n, kind if t == "int" and n.endswith(("_id", "_bk")) else t) for n, t in columns_of(layout))
+    return ", ".join(f"{n} {t}" for n, t in keyed)
+
+
 def empty_table(spark: SparkSession, layout: str) -> DataFrame:
     return spark.createDataFrame([], layout)
 

@@ -8,6 +8,7 @@ from chronostrata.fixed_values import ORDER_STATUS_CHAIN
 from chronostrata.functions import as_date, conform_key, hash_key
 from chronostrata.operators import anchor as a
 from chronostrata.operators import vault as v
+from chronostrata.session import cut
 from chronostrata.suite.base import CUT, ORDERS_AS_OF, query, status_log, table
 
 VIP_FROM = 3_000_000
@@ -92,7 +93,7 @@ def user_sat(spark, sf, *attrs):
 def sat_user(spark, sf):
     """Two loads that follow each other."""
     src, at = user_source(spark, sf), F.lit(CUT).cast("timestamp_ntz")
-    first = v.sat_load(None, src.where(F.col("load_dttm") < at), "hk_user", ["status"], ["event_id"])
+    first = cut(v.sat_load(None, src.where(F.col("load_dttm") < at), "hk_user", ["status"], ["event_id"]))
     second = v.sat_load(first, src.where(F.col("load_dttm") >= at), "hk_user", ["status"], ["event_id"])
     return first.unionByName(second)
 
@@ -119,7 +120,7 @@ def multi_active_sat(spark, sf):
     yearly = order_source(spark, sf).withColumn("load_dttm", F.date_trunc("year", "load_dttm").cast("timestamp_ntz"))
     src = yearly.withColumn("hk_customer", hash_key("customer_bk"))
     at = F.lit("1998-01-01").cast("timestamp_ntz")
-    first = v.multi_active_load(None, src.where(F.col("load_dttm") < at), "hk_customer", ["segment"])
+    first = cut(v.multi_active_load(None, src.where(F.col("load_dttm") < at), "hk_customer", ["segment"]))
     second = v.multi_active_load(first, src.where(F.col("load_dttm") >= at), "hk_customer", ["segment"])
     return first.unionByName(second)
 
@@ -129,7 +130,8 @@ def multi_active_sat(spark, sf):
 def txn_sat(spark, sf):
     """The second load repeats the first, with later load times."""
     src = user_source(spark, sf).select("hk_user", "status", F.col("load_dttm").alias("event_ts"), "load_dttm")
-    first = v.txn_sat_load(None, src.where(F.col("event_ts") < F.lit(CUT).cast("timestamp_ntz")), ["hk_user", "event_ts"])
+    early = src.where(F.col("event_ts") < F.lit(CUT).cast("timestamp_ntz"))
+    first = cut(v.txn_sat_load(None, early, ["hk_user", "event_ts"]))
     again = first.withColumn("load_dttm", F.col("load_dttm") + F.expr("INTERVAL 30 DAY"))
     return first.unionByName(v.txn_sat_load(first, src.unionByName(again), ["hk_user", "event_ts"]))
 

@@ -37,7 +37,7 @@ def loaded(spark, tmp_path_factory):
         "order_items": staged(spark, "order_items", fx.ORDER_ITEMS),
         "products": staged(spark, "products", fx.PRODUCTS),
     }
-    return root, warehouse.full_load(sources, root, RUN)
+    return root, warehouse.full_load(sources, warehouse.Warehouse(root), RUN)
 
 
 DIM = ("customer_bk", "email", "city", "hashdiff", "valid_from", "valid_to")
@@ -68,18 +68,18 @@ def test_calendar(loaded):
 def test_customer_increment_and_rerun(spark, loaded):
     root, _ = loaded
     batch = staged(spark, "customers", fx.CUSTOMERS_INCREMENT)
-    first = warehouse.customer_increment(batch, root, RUN)
+    first = warehouse.customer_increment(batch, warehouse.Warehouse(root), RUN)
     assert rows(first["dim_customer"], *DIM) == fx.DIM_CUSTOMER_AFTER
     sk = [r.customer_sk for r in first["dim_customer"].collect()]
     assert sorted(sk) == [1, 2, 3, 4, 5, 6]
     before = rows(first["dim_customer"], "*")
-    again = warehouse.customer_increment(batch, root, RUN + dt.timedelta(days=1))
+    again = warehouse.customer_increment(batch, warehouse.Warehouse(root), RUN + dt.timedelta(days=1))
     assert rows(again["dim_customer"], "*") == before
     assert len(versions(spark, f"{root}/dds/dim_customer")) == 3
 
 
 def test_status_history(spark, loaded, tmp_path):
-    root, as_of = str(tmp_path), dt.date(2024, 12, 31)
+    root, as_of = warehouse.Warehouse(str(tmp_path)), dt.date(2024, 12, 31)
     dates = dims.dim_date(spark)
     t = warehouse.status_load(staged(spark, "customer_status", fx.STATUS), root, RUN, as_of, dates)
     status = ("customer_bk", "status", "valid_from", "valid_to")
@@ -132,7 +132,7 @@ def test_failed_gate_stops_before_the_marts(spark, tmp_path):
         "products": staged(spark, "products", fx.PRODUCTS),
     }
     with pytest.raises(q.QualityError, match="fact_sales.same_count: 3, expected 4"):
-        warehouse.full_load(sources, str(tmp_path), RUN)
+        warehouse.full_load(sources, warehouse.Warehouse(str(tmp_path)), RUN)
     with pytest.raises(FileNotFoundError):
         read_table(spark, f"{tmp_path}/dm/mart_daily_sales")
 
