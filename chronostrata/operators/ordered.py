@@ -52,11 +52,14 @@ def in_order(
     keys: str | Sequence[str],
     order: str | Sequence[str],
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> OrderedRows:
     """Prepare `df` for `with_prev`, `with_next` and `carry_last`.
 
     Runs one count per key over the key columns alone. `hot_rows=None` skips it: right
-    where a key has few rows by construction, such as one per day.
+    where a key has few rows by construction, such as one per day. Where `df` is costly to
+    compute, `counted` may be the table it comes from: any rows with these keys, at least as
+    many per key.
     """
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
     order = (order,) if isinstance(order, str) else tuple(order)
@@ -64,13 +67,14 @@ def in_order(
         return OrderedRows(df, keys, order, False)
     # At most MAX_HOT_KEYS rows reach the driver. A key left out of the list holds at most
     # 1/MAX_HOT_KEYS of all rows, which one task can take.
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-    heaviest = counted.orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS).collect()
+    source = df if counted is None else counted
+    per_key = source.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+    heaviest = per_key.orderBy(F.desc("_rows")).limit(MAX_HOT_KEYS).collect()
     if not heaviest:
         return OrderedRows(df, keys, order, False)
 
     # The list is rebuilt from values, so it is the same in both joins below.
-    listed = df.sparkSession.createDataFrame(heaviest, counted.schema).drop("_rows")
+    listed = df.sparkSession.createDataFrame(heaviest, per_key.schema).drop("_rows")
     marks = F.broadcast(listed.select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
     cold = df.join(marks, same, "left_anti").withColumn(_CHUNK, F.lit(0))

@@ -59,18 +59,29 @@ def sat_load(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rows of `src` whose attributes differ from the version before them, the stored one for
-    the first row of a batch. `(load_dttm, *tie)` orders the rows of a key totally."""
+    the first row of a batch. `(load_dttm, *tie)` orders the rows of a key totally. Load times
+    only grow: a row not later than the key's newest stored version is a replay and skipped.
+
+    The join and the window share one shuffle of the batch.
+    """
     incoming = src.select(hk, hashdiff(*attrs).alias("hashdiff"), *attrs, SOURCE, LOADED, *tie)
-    incoming = incoming.withColumn("_batch", F.lit(1))
+    stored_hash = F.lit(None).cast("string")
     if sat is not None:
-        stored = latest_by_key(sat, hk, [F.desc(LOADED)]).withColumn("_batch", F.lit(0))
-        incoming = stored.unionByName(incoming, allowMissingColumns=True)
-    rows = in_order(incoming, hk, ("_batch", LOADED, *tie), hot_rows)
+        newest = latest_by_key(sat, hk, [F.desc(LOADED)]).select(
+            F.col(hk).alias("_key"), F.col("hashdiff").alias("_stored"), F.col(LOADED).alias("_since")
+        )
+        incoming = incoming.join(newest, F.col(hk) == F.col("_key"), "left").where(_is_later())
+        stored_hash = F.col("_stored")
+    rows = in_order(incoming, hk, (LOADED, *tie), hot_rows, counted=src)
     told = with_prev(rows, {"_before": "hashdiff"}).plain()
-    changed = told.where((F.col("_batch") == 1) & differs("hashdiff", "_before"))
+    changed = told.where(differs("hashdiff", F.coalesce(F.col("_before"), stored_hash)))
     return changed.select(hk, "hashdiff", *attrs, SOURCE, LOADED)
 
 
+def _is_later() -> Column:
+    return F.col("_since").isNull() | (F.col(LOADED) > F.col("_since"))
+
+
 def effectivity(sat: DataFrame, hk: str, start: str = LOADED, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Satellite versions as periods: `valid_from`/`valid_to` from the load times."""
     rows = with_next(in_order(sat, hk, start, hot_rows), {"valid_to": start}).plain()
@@ -85,7 +96,8 @@ def multi_active_load(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Several values of a key are valid at once. When the set of values of a (key, load_dttm)
-    differs from the set before it, the whole set is added.
+    differs from the set before it, the whole set is added. Sets not later than the stored one
+    are replays.
 
     Sets are compared by size and by sums of hashes of their members, which add up across map
     tasks, so no set is ever gathered in one place.
@@ -93,15 +105,18 @@ def multi_active_load(
     members = src.groupBy(hk, LOADED, *attrs).agg(F.min(SOURCE).alias(SOURCE)).withColumn("_batch", F.lit(1))
     everything = members
     if sat is not None:
-        newest = sat.groupBy(hk).agg(F.max(LOADED).alias(LOADED))
-        stored = semi(sat, newest, [hk, LOADED]).select(hk, LOADED, *attrs, SOURCE).withColumn("_batch", F.lit(0))
+        newest = sat.groupBy(hk).agg(F.max(LOADED).alias("_since"))
+        members = members.join(newest, hk, "left").where(_is_later()).drop("_since")
+        stored = semi(sat, newest.withColumnRenamed("_since", LOADED), [hk, LOADED])
+        stored = stored.select(hk, LOADED, *attrs, SOURCE).withColumn("_batch", F.lit(0))
         everything = members.unionByName(stored)
     digest = hashdiff(*attrs)
     halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 17)]
     sets = everything.groupBy(hk, "_batch", LOADED).agg(
         F.struct(F.count("*").alias("n"), F.sum(halves[0]).alias("a"), F.sum(halves[1]).alias("b")).alias("_set")
     )
-    rows = with_prev(in_order(sets, hk, ("_batch", LOADED), hot_rows), {"_before": "_set"}).plain()
+    ordered = in_order(sets, hk, ("_batch", LOADED), hot_rows, counted=src)
+    rows = with_prev(ordered, {"_before": "_set"}).plain()
     changed = rows.where((F.col("_batch") == 1) & differs("_set", "_before"))
     return semi(members, changed, [hk, LOADED]).select(hk, *attrs, SOURCE, LOADED)
 

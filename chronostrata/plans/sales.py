@@ -48,7 +48,7 @@ def mart_daily_sales(
     grouped = fact.groupBy("date_key", "product_sk", segment("amount", threshold).alias("customer_segment")).agg(
         F.sum("quantity").alias("qty"), F.sum("amount").alias("revenue")
     )
-    named = grouped.join(dates.select("date_key", "date_actual"), "date_key").join(
+    named = grouped.join(_days(dates, "date_actual"), "date_key").join(
         products.select("product_sk", "product_name"), "product_sk"
     )
     return named.groupBy("date_actual", "product_name", "customer_segment").agg(
@@ -64,16 +64,23 @@ def mart_customer_360(
 ) -> DataFrame:
     """Lifetime numbers per customer over all versions, with the newest value of each `latest`
     attribute as `last_<attr>`, also when no fact points to that version."""
-    # Sums per version are small; only they meet the dimension. A fact row is one line item, so
-    # counting rows counts distinct sale ids.
-    per_version = fact.groupBy("customer_sk", "date_key").agg(
-        F.count("*").alias("lines"), F.sum("quantity").alias("qty"), F.sum("amount").alias("spent")
+    # Dates first, within the scan; then one row per version meets the dimension. A fact row is
+    # one line item, so counting rows counts distinct sale ids.
+    per_version = (
+        fact.join(_days(dates, "date_actual"), "date_key")
+        .groupBy("customer_sk")
+        .agg(
+            F.min("date_actual").alias("first"),
+            F.max("date_actual").alias("last"),
+            F.count("*").alias("lines"),
+            F.sum("quantity").alias("qty"),
+            F.sum("amount").alias("spent"),
+        )
     )
-    dated = per_version.join(dates.select("date_key", "date_actual"), "date_key")
-    owned = dated.join(dim_customer.select("customer_sk", "customer_bk"), "customer_sk")
+    owned = per_version.join(dim_customer.select("customer_sk", "customer_bk"), "customer_sk")
     totals = owned.groupBy("customer_bk").agg(
-        F.min("date_actual").alias("first_order_date"),
-        F.max("date_actual").alias("last_order_date"),
+        F.min("first").alias("first_order_date"),
+        F.max("last").alias("last_order_date"),
         F.sum("lines").alias("total_line_items"),
         F.sum("qty").alias("total_items"),
         F.sum("spent").cast("decimal(18,2)").alias("lifetime_value"),
@@ -96,10 +103,7 @@ def spend_by_attribute(
 
 def revenue_star(fact: DataFrame, dim_customer: DataFrame, dates: DataFrame, attr: str = "city") -> DataFrame:
     """Revenue per `attr`, year and month with the attribute in the customer dimension."""
-    summed = fact.groupBy("customer_sk", "date_key").agg(F.sum("amount").alias("amount"))
-    wide = summed.join(dim_customer.select("customer_sk", attr), "customer_sk").join(
-        dates.select("date_key", "year", "month"), "date_key"
-    )
+    wide = _monthly(fact, dates).join(dim_customer.select("customer_sk", attr), "customer_sk")
     return _revenue(wide, attr)
 
 
@@ -107,15 +111,20 @@ def revenue_normalised(
     fact: DataFrame, dim_customer: DataFrame, lookup: DataFrame, dates: DataFrame, attr: str, attr_key: str
 ) -> DataFrame:
     """The same revenue with the attribute in a table of its own."""
-    summed = fact.groupBy("customer_sk", "date_key").agg(F.sum("amount").alias("amount"))
-    wide = (
-        summed.join(dim_customer.select("customer_sk", attr_key), "customer_sk")
-        .join(dates.select("date_key", "year", "month"), "date_key")
-        .groupBy(attr_key, "year", "month")
-        .agg(F.sum("amount").alias("amount"))
-        .join(lookup.select(attr_key, attr), attr_key)
-    )
-    return _revenue(wide, attr)
+    keyed = _monthly(fact, dates).join(dim_customer.select("customer_sk", attr_key), "customer_sk")
+    grouped = keyed.groupBy(attr_key, "year", "month").agg(F.sum("amount").alias("amount"))
+    return _revenue(grouped.join(lookup.select(attr_key, attr), attr_key), attr)
+
+
+def _monthly(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    dated = fact.join(_days(dates, "year", "month"), "date_key")
+    return dated.groupBy("customer_sk", "year", "month").agg(F.sum("amount").alias("amount"))
+
+
+def _days(dates: DataFrame, *cols: str) -> DataFrame:
+    """The calendar has one row per day; all days a date can hold are some 3.7 million rows of a
+    few bytes, so it may always be broadcast."""
+    return F.broadcast(dates.select("date_key", *cols))
 
 
 def _revenue(wide: DataFrame, attr: str) -> DataFrame:

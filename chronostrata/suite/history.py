@@ -10,6 +10,7 @@ from chronostrata.operators.keys import assign_keys
 from chronostrata.operators.latest import latest_as_of, latest_by_key
 from chronostrata.operators.rows import trace_load
 from chronostrata.operators.upsert import insert_if_absent, snapshot_latest, upsert_newer
+from chronostrata.session import cut
 from chronostrata.suite.base import CUT, DAILY_SQL, TS_SQL, daily_history_sql, query, status_log, table
 
 COLS = "user_id, status, hashdiff, valid_from, valid_to"
@@ -104,15 +105,21 @@ def snapshot(spark, sf):
     return newest.select("user_id", "status", F.col("ts").cast("date").alias("eff"))
 
 
+def stored(spark, sf):
+    """Dimension and snapshot as an increment finds them: tables."""
+    return cut(before_cut(spark, sf)), cut(snapshot(spark, sf))
+
+
 @query("scd2_increment", INCREMENT_SQL)
 def scd2_increment(spark, sf):
-    return h.scd2_apply(before_cut(spark, sf), snapshot(spark, sf), "user_id", ["status"], "eff")
+    dim, snap = stored(spark, sf)
+    return h.scd2_apply(dim, snap, "user_id", ["status"], "eff")
 
 
 @query("scd2_increment_rerun", INCREMENT_SQL)
 def scd2_increment_rerun(spark, sf):
-    snap = snapshot(spark, sf)
-    once = h.scd2_apply(before_cut(spark, sf), snap, "user_id", ["status"], "eff")
+    dim, snap = stored(spark, sf)
+    once = cut(h.scd2_apply(dim, snap, "user_id", ["status"], "eff"))
     return h.scd2_apply(once, snap, "user_id", ["status"], "eff")
 
 

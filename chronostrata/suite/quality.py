@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronostrata.functions import as_date
 from chronostrata.operators import quality as q
+from chronostrata.session import cut
 from chronostrata.suite.base import DAILY_SQL, ORDERS_AS_OF, query, table
 from chronostrata.suite.cleaning import ORDERS_SQL, staged_orders
 from chronostrata.suite.history import daily_history
@@ -53,7 +54,7 @@ def dq_report(spark, sf):
     UNION ALL SELECT 'history.overlap', lap = 0, lap, 0 FROM bad
     UNION ALL SELECT 'history.min_versions', vers >= 2, vers, 2 FROM bad""")
 def dq_history(spark, sf):
-    hist = daily_history(spark, sf)
+    hist = cut(daily_history(spark, sf))
     return q.report([
         q.check_one_current(hist, "user_id", "history"),
         q.check_rules(hist, "history", q.period_order()),

@@ -185,7 +185,7 @@ def pit_read(spark, sf):
 
 
 def hub_keys(spark, sf, name, key, hk):
-    return table(spark, sf, name).select(hash_key(key).alias(hk)).distinct()
+    return table(spark, sf, name).select(hash_key(key).alias(hk))
 
 
 @query("bridge_build", """

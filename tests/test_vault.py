@@ -31,6 +31,8 @@ def test_satellite_reload_adds_nothing_and_returning_values_count(spark):
     src = sat_rows(spark, [("1", "a", "2024-01-01"), ("1", "a", "2024-01-02"), ("1", "b", "2024-01-03"), ("1", "a", "2024-01-04")])
     sat = v.sat_load(None, src, "hk", ["a"])
     assert [r.a for r in sat.orderBy("load_dttm").collect()] == ["a", "b", "a"]
+    assert v.sat_load(sat, src, "hk", ["a"]).count() == 0
+    assert v.sat_load(sat, src, "hk", ["a"], hot_rows=2).count() == 0
     assert v.sat_load(sat, sat_rows(spark, [("1", "a", "2024-01-05")]), "hk", ["a"]).count() == 0
     assert v.sat_load(sat, sat_rows(spark, [("1", "b", "2024-01-05")]), "hk", ["a"]).count() == 1
 
@@ -54,6 +56,7 @@ def test_multi_active_compares_whole_sets(spark):
                            ("1", "x", "2024-01-03")])
     sat = v.multi_active_load(None, src, "hk", ["a"])
     assert sorted((r.load_dttm.day, r.a) for r in sat.collect()) == [(1, "x"), (1, "y"), (3, "x")]
+    assert v.multi_active_load(sat, src, "hk", ["a"]).count() == 0
     same = v.multi_active_load(sat, sat_rows(spark, [("1", "x", "2024-01-04")]), "hk", ["a"])
     assert same.count() == 0
     grown = v.multi_active_load(sat, sat_rows(spark, [("1", "x", "2024-01-04"), ("1", "z", "2024-01-04")]), "hk", ["a"])
