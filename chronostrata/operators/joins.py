@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from chronostrata.functions import as_date, differs, valid_at
 from chronostrata.operators.ordered import HOT_ROWS, carry_last, in_order
 
+MAX_VERSIONS = 64
+
 
 def anti(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     return a.join(b.select(*keys), list(keys), "left_anti")
@@ -36,13 +38,18 @@ def join_as_of(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     closed: bool = False,
+    max_versions: int = MAX_VERSIONS,
 ) -> DataFrame:
     """Each fact with the version valid at its time; facts without one are left out.
 
-    Equality on the key with the period as a condition: right for histories with few versions
-    per key, whatever the number of facts. For keys with very many versions see
-    `join_as_of_long`.
+    The longest history of a key is looked up first (one count over the key column of
+    `history`). Up to `max_versions` rows the join is equality on the key with the period as a
+    condition, so that a small history is broadcast and the facts stay where they are. Above it
+    a heavy key would compare all its facts to all its versions; `join_as_of_long` does not.
     """
+    longest = history.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+    if longest > max_versions:
+        return join_as_of_long(facts, history, key, ts_col, valid_from, valid_to, closed)
     versions = history.withColumnRenamed(key, "_key")
     at = valid_at(facts[ts_col], versions[valid_from], versions[valid_to], closed)
     return facts.join(versions, (facts[key] == versions["_key"]) & at).drop("_key")
@@ -58,7 +65,7 @@ def join_as_of_long(
     closed: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """`join_as_of` without comparing every fact of a key to every version of it.
+    """`join_as_of` for histories of any length.
 
     Facts and versions are sorted together by (key, time) and the last version carried on to
     the facts after it. Needs periods that do not overlap within a key (`check_overlap`).

@@ -18,6 +18,7 @@ from chronostrata.operators.latest import latest_attrs
 from chronostrata.operators.rows import preview, row_count_label, table_counts
 from chronostrata.plans import dims, sales
 from chronostrata.plans.status import mart_status_daily
+from chronostrata.session import cut
 from chronostrata.suite.base import (
     CUT,
     DAILY_SQL,
@@ -78,8 +79,10 @@ def order_dates(spark, sf):
     return dims.calendar(date_bounds(table(spark, sf, "orders"), day, day))
 
 
-def fact(spark, sf):
-    return sales.fact_sales(orders(spark, sf), items(spark, sf), products(spark, sf), customers(spark, sf))
+def fact(spark, sf, dim=None):
+    """The dimension is a stored table when facts are loaded."""
+    dim = cut(customers(spark, sf)) if dim is None else dim
+    return sales.fact_sales(orders(spark, sf), items(spark, sf), products(spark, sf), dim)
 
 
 CUSTOMER_SQL = f"""
@@ -153,7 +156,8 @@ def mart_slice(spark, sf):
            CAST(sum(amount) AS DECIMAL(18,2)) AS lifetime_value, any_value(n.segment) AS last_segment
     FROM fact f LEFT JOIN newest n ON n.customer_bk = f.customer_bk GROUP BY f.customer_bk""")
 def customer_360(spark, sf):
-    return sales.mart_customer_360(fact(spark, sf), order_dates(spark, sf), customers(spark, sf), ["segment"])
+    dim = cut(customers(spark, sf))
+    return sales.mart_customer_360(fact(spark, sf, dim), order_dates(spark, sf), dim, ["segment"])
 
 
 @query("latest_attrs", f"""
@@ -185,7 +189,7 @@ def favourite_products(spark, sf):
     WHERE c.segment = '1-URGENT' AND year(o_orderdate) = 1998""")
 def customer_spend_segment_year(spark, sf):
     placed = orders(spark, sf).drop("segment").withColumnRenamed("customer_id", "customer_bk")
-    return sales.spend_by_attribute(placed, customers(spark, sf), "segment", "1-URGENT", 1998)
+    return sales.spend_by_attribute(placed, cut(customers(spark, sf)), "segment", "1-URGENT", 1998)
 
 
 def city_customers(spark, sf):
@@ -245,12 +249,12 @@ def _picked(joined):
 
 @query("pit_join_facts", PIT_SQL)
 def pit_join_facts(spark, sf):
-    return _picked(join_as_of(purchases(spark, sf), ts_history(spark, sf), "user_id", "ts"))
+    return _picked(join_as_of(purchases(spark, sf), cut(ts_history(spark, sf)), "user_id", "ts"))
 
 
 @query("pit_join_long_history", PIT_SQL)
 def pit_join_long_history(spark, sf):
-    return _picked(join_as_of_long(purchases(spark, sf), ts_history(spark, sf), "user_id", "ts"))
+    return _picked(join_as_of_long(purchases(spark, sf), cut(ts_history(spark, sf)), "user_id", "ts"))
 
 
 PRICE_SQL = """

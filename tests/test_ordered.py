@@ -94,7 +94,9 @@ def test_as_of_join_over_long_histories(spark, log):
     history = scd2_backfill(log, "k", ["state"], "ts", ["n"], grain="ts")
     history = history.where("hashdiff IS NOT NULL").where(F.hour("valid_from") != 3)  # leaves gaps
     facts = log.select("k", (F.col("ts") + F.expr("INTERVAL 7 MINUTES")).alias("at"), "n")
-    want = rows(join_as_of(facts, history, "k", "at"))
+    want = rows(join_as_of(facts, history, "k", "at", max_versions=10**9))
+    assert want
+    assert rows(join_as_of(facts, history, "k", "at", max_versions=5)) == want
     assert rows(join_as_of_long(facts, history, "k", "at")) == want
     assert rows(join_as_of_long(facts, history, "k", "at", hot_rows=HOT)) == want
 

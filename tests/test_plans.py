@@ -59,7 +59,7 @@ def test_newest_row_is_limited_before_the_shuffle(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(contract.queries()["pit_join_facts"](spark, SF_DIR))
+    text = plan(contract.queries()["pit_read"](spark, SF_DIR))
     assert "EqualTo(event_type,purchase)" in text
     text = plan(contract.queries()["active_90d"](spark, SF_DIR))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in text
