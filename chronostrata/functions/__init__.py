@@ -17,6 +17,7 @@ from chronostrata.functions.cleaning import (
 from chronostrata.functions.hashing import hash_key, hashdiff, register_hash_function, version_key
 from chronostrata.functions.periods import (
     as_date,
+    as_moment,
     effective_date,
     effective_ts,
     in_last_days,
@@ -27,6 +28,7 @@ from chronostrata.functions.periods import (
 __all__ = [
     "amount",
     "as_date",
+    "as_moment",
     "blank_to_null",
     "conform_key",
     "date_key",

@@ -18,6 +18,14 @@ def as_date(d: Column | dt.date | str) -> Column:
     return d.cast("date") if isinstance(d, Column) else F.lit(str(d)).cast("date")
 
 
+def as_moment(d: Column | dt.datetime | dt.date | str) -> Column:
+    """A run-time argument as an expression. A datetime is taken as written, without a time zone;
+    Python's and the session's need not agree."""
+    if isinstance(d, dt.datetime):
+        return F.lit(d.isoformat(sep=" ")).cast("timestamp_ntz")
+    return d if isinstance(d, Column) else F.lit(d)
+
+
 def effective_ts(event_ts: Column | str, load_ts: Column | str) -> Column:
     return F.coalesce(_col(event_ts), _col(load_ts))
 

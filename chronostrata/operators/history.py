@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronostrata.functions import as_date, differs, hashdiff, is_current
+from chronostrata.functions import as_date, as_moment, differs, hashdiff, is_current
 from chronostrata.operators.joins import anti, new_or_changed, semi
 from chronostrata.operators.latest import last_of_day, latest_by_key
 from chronostrata.operators.ordered import HOT_ROWS, in_order, with_next, with_prev
@@ -91,7 +91,7 @@ def scd2_kept(
     """
     updates = {"valid_to": F.when(_is_newer(), F.col("_eff"))}
     if run_ts is not None:
-        now = F.lit(run_ts).cast("timestamp_ntz")
+        now = as_moment(run_ts)
         updates["updated_at"] = F.when(_is_newer(), now).otherwise(F.col("updated_at"))
     state = _state(snapshot, key, attrs, eff_col).select(key, "_new_hash", "_eff")
     current = dim.where(is_current()).join(state, key, "left").withColumns(updates).select(*dim.columns)
@@ -234,5 +234,5 @@ def scd6(
 
 def stamp(df: DataFrame, run_ts: dt.datetime, columns: Sequence[str] = ("created_at", "updated_at")) -> DataFrame:
     """Technical timestamps; they take no part in comparing versions."""
-    value: Column = F.lit(run_ts).cast("timestamp_ntz")
+    value: Column = as_moment(run_ts)
     return df.withColumns({c: value for c in columns})

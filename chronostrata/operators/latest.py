@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronostrata.functions import as_date
+from chronostrata.functions import as_date, as_moment
 
 
 def latest_by_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -33,9 +33,8 @@ def latest_as_of(
     tie: Sequence[str] = (),
 ) -> DataFrame:
     """Newest version at or before `d` in an append-only history."""
-    at = d if isinstance(d, Column) else F.lit(d)
     order = [F.desc(ts_col), *[F.desc(t) for t in tie]]
-    return latest_by_key(df.where(F.col(ts_col) <= at), keys, order)
+    return latest_by_key(df.where(F.col(ts_col) <= as_moment(d)), keys, order)
 
 
 def last_of_day(df: DataFrame, keys: str | Sequence[str], ts_col: str, tie: Sequence[str] = ()) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronostrata.functions import as_moment
 from chronostrata.sources.schemas import LOAD_META, staging_schema
 
 # An unquoted blank is a missing value, a quoted blank ("") is an empty text.
@@ -29,7 +30,7 @@ def stage_rows(
 
 def with_load_meta(df: DataFrame, load_id: str, run_ts: dt.datetime) -> DataFrame:
     """Stamp `_load_id` and `_load_ts`; values that came with the rows are kept."""
-    wanted = {"_load_id": (F.lit(load_id), "string"), "_load_ts": (F.lit(run_ts), "timestamp_ntz")}
+    wanted = {"_load_id": (F.lit(load_id), "string"), "_load_ts": (as_moment(run_ts), "timestamp_ntz")}
     stamped = {}
     for name in LOAD_META:
         default, kind = wanted[name]

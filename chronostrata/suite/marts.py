@@ -268,7 +268,8 @@ PRICE_SQL = """
       SELECT product_id, raised_on, CAST(NULL AS DATE), CAST(list_price * 2 AS DECIMAL(18,2)) FROM base),
     priced AS (
       SELECT l_orderkey, l_linenumber, l_partkey, CAST(o_orderdate AS DATE) AS order_date, price,
-             CASE WHEN l_linestatus = 'F' THEN CAST(p_retailprice AS DECIMAL(18,2)) ELSE price END AS price_at_sale
+             CASE WHEN l_linestatus = 'F' THEN CAST(p_retailprice AS DECIMAL(18,2))
+                  ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2)) * 2 AS DECIMAL(18,2)) END AS price_at_sale
       FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
       JOIN prices x ON x.product_id = l_partkey AND CAST(o_orderdate AS DATE) >= x.valid_from
         AND (x.valid_to IS NULL OR CAST(o_orderdate AS DATE) <= x.valid_to))"""
@@ -313,13 +314,15 @@ def price_as_of(spark, sf):
     WITH {PRICE_SQL} SELECT l_partkey AS product_id, count(*) AS lines_cnt FROM priced
     WHERE price <> price_at_sale GROUP BY l_partkey""")
 def price_differences(spark, sf):
-    """Lines of status F were sold at the part's first price."""
-    parts = table(spark, sf, "part").select(F.col("p_partkey").alias("product_id"), money("p_retailprice").alias("first"))
-    first_price = dated_lines(spark, sf).where("l_linestatus = 'F'").join(parts, "product_id")
-    sold = first_price.withColumnRenamed("first", "price_at_sale")
-    listed = prices(spark, sf)
-    # Lines of the other status follow the list, so they cannot differ from it.
-    return sales.price_differences(sold, listed).groupBy("product_id").agg(F.count("*").alias("lines_cnt"))
+    """Lines of status F were sold at the part's first price, the others at its second."""
+    first = money("p_retailprice")
+    parts = table(spark, sf, "part").select(
+        F.col("p_partkey").alias("product_id"), first.alias("first"), (first * 2).cast("decimal(18,2)").alias("second")
+    )
+    paid = F.when(F.col("l_linestatus") == "F", F.col("first")).otherwise(F.col("second"))
+    sold = dated_lines(spark, sf).join(parts, "product_id").withColumn("price_at_sale", paid)
+    different = sales.price_differences(sold, prices(spark, sf))
+    return different.groupBy("product_id").agg(F.count("*").alias("lines_cnt"))
 
 
 @query("range_join_calendar", f"""

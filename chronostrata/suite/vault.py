@@ -290,7 +290,7 @@ def vip_flags(spark, sf):
     SELECT md5(CAST(f.customer_bk AS VARCHAR)) AS hk_customer, f.customer_bk, n.o_orderpriority AS segment_current,
            f.lifetime_value, f.is_vip, f.is_active_90d FROM flags f JOIN newest n ON n.o_custkey = f.customer_bk""")
 def flat_customer(spark, sf):
-    """Orders of one day follow each other by key, one second apart, so that load times differ."""
+    """Orders carry a day only, so the last order of a day tells the segment of that day."""
     src = order_source(spark, sf).withColumn("hk_customer", hash_key("customer_bk"))
     daily = v.last_of_day(src, "hk_customer", "load_dttm", ["order_bk"]).drop("_day")
     sat = v.sat_load(None, daily, "hk_customer", ["segment"])
