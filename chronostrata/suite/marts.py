@@ -26,7 +26,6 @@ from chronostrata.suite.base import (
     TS_SQL,
     daily_history_sql,
     query,
-    status_log,
     table,
 )
 from chronostrata.suite.history import before_cut, daily_history, snapshot, ts_history

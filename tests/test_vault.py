@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from chronostrata.operators import vault as v
 from chronostrata.operators.joins import expand_days
