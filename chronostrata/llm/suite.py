@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostrata.llm import curriculum, quality, sharding
+from chronostrata.llm import bpe, curriculum, minhash, quality, sharding
 from chronostrata.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -112,3 +113,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         .orderBy("_first", "doc_id")
         .select("doc_id", "size", "source_size", "target", "taken")
     )
+
+
+@query("op1_minhash_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under similarity of two-word shingles."""
+    told = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2)
+    component = F.col("first_id").alias("component_id")
+    kept = F.coalesce(F.col("doc_id") == F.col("first_id"), F.lit(False)).alias("kept")
+    return told.select("doc_id", "n_shingles", component, kept)
+
+
+@query("op8_byte_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the token ids of every document, and of what they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    told = bpe.encode(docs, path, public_tokenizers.PATTERN, digests=True, keep_ids=False)
+    return told.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
