@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostrata.llm import bpe, curriculum, minhash, quality, sharding
+from chronostrata.llm import bpe, curriculum, iblt, mincut, minhash, quality, sharding
 from chronostrata.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -131,3 +131,17 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     told = bpe.encode(docs, path, public_tokenizers.PATTERN, digests=True, keep_ids=False)
     return told.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op7_mincut_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    told = mincut.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return told.select("page_id", "url", "text", "n_chars")
+
+
+@query("op9_iblt_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and of its edited text, and how near they and the next one are."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return iblt.compare_versions(docs)
