@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostrata.llm import bpe, curriculum, iblt, mincut, minhash, quality, sharding
+from chronostrata.llm import bpe, curriculum, iblt, mincut, minhash, quality, sharding, suffix
 from chronostrata.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -145,3 +145,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document and of its edited text, and how near they and the next one are."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return iblt.compare_versions(docs)
+
+
+@query("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without its repeated strings of 400 bytes."""
+    told = suffix.repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return told.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
