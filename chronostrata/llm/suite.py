@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostrata.llm import bpe, curriculum, iblt, mincut, minhash, quality, sharding, suffix
+from chronostrata.llm import bpe, chaining, curriculum, iblt, mincut, minhash, quality, sharding, suffix
 from chronostrata.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -152,3 +152,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without its repeated strings of 400 bytes."""
     told = suffix.repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return told.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op4_chained_passages")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that documents share, with the documents they repeat."""
+    return chaining.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
