@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostrata.llm import bpe, chaining, curriculum, iblt, mincut, minhash, quality, sharding, suffix
+from chronostrata.llm import bpe, chaining, curriculum, fixity, iblt, mincut, minhash, quality, sharding, suffix
 from chronostrata.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -158,3 +158,47 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of at least 50 words that documents share, with the documents they repeat."""
     return chaining.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# The replica of the query: in one of 50 pages the byte in the middle is another one, and one of 10,000 has
+# lost its last half. Both follow from the page's id, so SQL can name the places to be found.
+DAMAGE = "page_id % 50 = 7"
+LOSS = "page_id % 10000 = 13"
+ARCHIVES = 16
+
+FIXITY_SQL = rf"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, page_id // 4 % {ARCHIVES} AS archive FROM pages),
+q AS (
+  SELECT *, CASE WHEN {DAMAGE} THEN substr(html, 1, length(html) // 2) || '~' || substr(html, length(html) // 2 + 2)
+                 WHEN {LOSS} THEN substr(html, 1, length(html) // 2) ELSE html END AS html2 FROM p),
+l AS (
+  SELECT *, 99 + strlen(url) + length(CAST(strlen(html) AS VARCHAR)) + strlen(html) AS len1,
+            99 + strlen(url) + length(CAST(strlen(html2) AS VARCHAR)) + strlen(html2) AS len2 FROM q),
+o AS (
+  SELECT *, CAST(sum(len1) OVER w AS BIGINT) - len1 AS start1, CAST(sum(len2) OVER w AS BIGINT) - len2 AS start2,
+         row_number() OVER w - 1 AS place
+  FROM l WINDOW w AS (PARTITION BY archive ORDER BY page_id ROWS UNBOUNDED PRECEDING))
+SELECT CAST(archive AS VARCHAR) AS archive, place, page_id, start1 AS start_byte, start1 + len1 AS end_byte,
+       start2 AS other_start, start2 + len2 AS other_end,
+       CASE WHEN len1 = len2 AND start1 <> start2 THEN 'moved' ELSE 'damaged' END AS kind
+FROM o WHERE html <> html2 OR start1 <> start2"""
+
+
+@query("op3_merkle_fixity", FIXITY_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a replica of all pages that differ from the original, by comparing hash trees."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    middle = F.floor(F.length("html") / 2).cast("int")
+    head = F.substring(F.col("html"), F.lit(1), middle)
+    tail = F.substring(F.col("html"), middle + 2, F.length("html"))
+    changed = F.when(F.expr(DAMAGE), F.concat(head, F.lit("~"), tail)).when(F.expr(LOSS), head).otherwise(F.col("html"))
+    archive = F.expr(f"page_id div 4 % {ARCHIVES}")
+    ours, theirs = (
+        fixity.merkle_tree(fixity.records(p, archive)) for p in (pages, pages.withColumn("html", changed))
+    )
+    told = fixity.audit(ours, theirs)
+    return told.select(
+        "archive", "place", F.col("key").alias("page_id"), F.col("start").alias("start_byte"),
+        F.col("end").alias("end_byte"), "other_start", "other_end", "kind",
+    )
