@@ -8,9 +8,12 @@
 3. A band with several nodes is a bucket. Every node of a bucket is compared with the bucket's least
    node only: first the signatures (at least 0.6 of the minima equal; for a pair of similarity 0.8
    this fails in 1 of 10^8 cases), then the full sets. Components of these links come next.
-4. Pairs of a bucket that lie in different components are the only ones that can still join two
-   components. Those are compared too, and the components are taken again. Large groups of near copies
-   are one component by then, so their pairs are never listed.
+4. Only links between nodes of a bucket that lie in different components can still matter. For these
+   nodes it is counted how many of their shingles any other component has: a link cannot share more, so
+   most nodes are ruled out. The rest is compared with the bucket's node that shares most; the
+   components are taken again; and last all pairs are compared that are in different components and
+   that the counts allow. A large group of near copies is one component by then, and its strays are
+   ruled out by their own edits, so the pairs within a group are never listed.
 
 Links inside a component that step 3 has found are not listed: the component is the result.
 
@@ -115,31 +118,37 @@ def text_key(text: Column) -> Column:
 class _Links:
     """Compares pairs of nodes: signatures first, then the full sets."""
 
-    def __init__(self, texts: DataFrame, members: DataFrame, nodes: DataFrame, size: int, percent: int):
-        self.texts, self.members, self.nodes = texts, members, nodes
-        self.size, self.percent = size, percent
+    def __init__(self, nodes: DataFrame, sets: DataFrame, percent: int):
+        self.signed, self.sets, self.percent = nodes.select("node", "signature"), sets, percent
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        signed = self.nodes.select("node", "signature")
-        told = pairs.join(signed.toDF("a", "sa"), "a").join(signed.toDF("b", "sb"), "b")
+        told = pairs.join(self.signed.toDF("a", "sa"), "a").join(self.signed.toDF("b", "sb"), "b")
         alike = cut(told.select("a", "b", "sa", "sb").mapInArrow(_alike, "a binary, b binary"))
-        wanted = alike.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        # One row per node names the text that stands for it; the texts of other nodes stay where they are
-        # if the wanted ones are few enough to be broadcast.
-        chosen = self.nodes.join(wanted, "node").select("node", "doc_id", "text_key")
-        found = self.texts.join(
-            chosen,
-            self.texts["doc_id"].eqNullSafe(chosen["doc_id"]) & (self.texts["text_key"] == chosen["text_key"]),
-        ).select("node", "text")
-        # A repeated row gives its node twice.
-        sets = found.mapInArrow(_sets(self.size), "node binary, shingles array<bigint>").dropDuplicates(["node"])
-        sets = cut(sets)
-        both = alike.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
+        both = alike.join(self.sets.toDF("a", "xa"), "a").join(self.sets.toDF("b", "xb"), "b")
         shared = F.size(F.array_intersect("xa", "xb"))
         union = F.size("xa") + F.size("xb") - shared
         return cut(both.where(shared * 100 >= union * self.percent).select("a", "b"))
 
 
+def _across(crowded: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Rows of buckets that hold several components, with the component."""
+    told = crowded.join(grouped, "node", "left").select(
+        "band", "node", "least", F.coalesce("component", "node").alias("component")
+    )
+    mixed = told.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return cut(told.join(mixed.where("low <> high").select("band"), "band"))
+
+
+def _reachable(open_: DataFrame, sets: DataFrame) -> DataFrame:
+    """Per node its set size `n` and how many of its shingles, `m`, some other component has too: no
+    link into another component can share more."""
+    people = open_.select("node", "component").distinct()
+    spread = people.join(sets, "node").select("node", "component", F.explode("shingles").alias("s"))
+    seen = spread.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = F.sum(F.expr("IF(low <> high, 1, 0)"))
+    return spread.join(seen, "s").groupBy("node").agg(F.count("*").alias("n"), shared.alias("m"))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -158,21 +167,38 @@ def near_duplicates(
     buckets = bands.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("least")).where("n > 1")
     crowded = cut(bands.join(buckets.drop("n"), "band"))
 
-    links = _Links(texts, members, nodes, shingle, percent)
+    # The sets of all nodes that share a bucket, each from one text that stands for it.
+    wanted = nodes.join(crowded.select("node").distinct(), "node").select("node", "doc_id", "text_key")
+    same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_key"] == wanted["text_key"])
+    sets = texts.join(wanted, same).select("node", "text").mapInArrow(_sets(shingle), "node binary, shingles array<bigint>")
+    sets = cut(sets.dropDuplicates(["node"]))  # a repeated row gives its node twice
+
+    links = _Links(nodes, sets, percent)
     stars = crowded.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     linked = links.verified(stars)
     grouped = components(linked)
 
-    told = crowded.join(grouped, "node", "left").select(
-        "band", "node", "least", F.coalesce("component", "node").alias("component")
-    )
-    mixed = told.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = cut(told.join(mixed.where("low <> high").select("band"), "band"))
-    left, right = open_.toDF("band", "a", "la", "ca"), open_.select("band", "node", "component").toDF("band", "b", "cb")
-    across = left.join(right, (left["band"] == right["band"]) & (F.col("ca") < F.col("cb")))
+    # Second round: the node that can share most is the bucket's hub.
+    open_ = _across(crowded, grouped)
+    rated = open_.join(cut(_reachable(open_, sets)), "node")
+    likely = rated.where(F.col("m") * 100 >= F.col("n") * percent)
+    hubs = likely.groupBy("band").agg(F.max(F.struct(F.col("m") / F.col("n"), "node", "component")).alias("h"))
+    spokes = likely.join(hubs, "band").where("component <> h.component AND node <> least AND h.node <> least")
+    spokes = spokes.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"))
+    linked = cut(linked.unionByName(links.verified(spokes.distinct())))
+    grouped = components(linked)
+
+    # Last: all pairs of a bucket in different components that their shared shingles allow.
+    rated = cut(_across(crowded, grouped).join(likely.select("node", "n", "m").distinct(), "node"))
+    left = rated.select("band", F.col("node").alias("a"), F.col("least").alias("la"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("m").alias("ma"))
+    right = rated.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
+    most = F.least("ma", "mb")
+    allowed = most * 100 >= (F.col("na") + F.col("nb") - most) * percent
     # Pairs with the bucket's least node have been compared.
-    fresh = across.where("a <> la AND b <> la").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = links.verified(fresh.distinct())
+    fresh = (F.col("ca") < F.col("cb")) & (F.col("a") != F.col("la")) & (F.col("b") != F.col("la"))
+    across = left.join(right, (left["band"] == right["band"]) & fresh & allowed)
+    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    more = links.verified(across)
     if not more.isEmpty():
         grouped = components(linked.unionByName(more))
 
