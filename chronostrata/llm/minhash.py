@@ -8,12 +8,10 @@
 3. A band with several nodes is a bucket. Every node of a bucket is compared with the bucket's least
    node only: first the signatures (at least 0.6 of the minima equal; for a pair of similarity 0.8
    this fails in 1 of 10^8 cases), then the full sets. Components of these links come next.
-4. Only links between nodes of a bucket that lie in different components can still matter. For these
-   nodes it is counted how many of their shingles any other component has: a link cannot share more, so
-   most nodes are ruled out. The rest is compared with the bucket's node that shares most; the
-   components are taken again; and last all pairs are compared that are in different components and
-   that the counts allow. A large group of near copies is one component by then, and its strays are
-   ruled out by their own edits, so the pairs within a group are never listed.
+4. Only links between nodes of a bucket that lie in different components can still matter: strays
+   against the bucket's main component and against each other. Their signatures are compared in blocks of
+   bounded size; pairs that agree go on to the full sets, and the components are taken again. A
+   large group of near copies is one component by then, so the pairs within it are never listed.
 
 Links inside a component that step 3 has found are not listed: the component is the result.
 
@@ -41,6 +39,7 @@ _RNG = np.random.default_rng(7)
 MULTIPLY = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADD = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 ESTIMATE = 0.6
+CHUNK = 1024  # nodes of a bucket that are compared at a time; all are compared
 
 
 def _minima(shingles: np.ndarray) -> bytes:
@@ -130,23 +129,68 @@ class _Links:
         return cut(both.where(shared * 100 >= union * self.percent).select("a", "b"))
 
 
-def _across(crowded: DataFrame, grouped: DataFrame) -> DataFrame:
-    """Rows of buckets that hold several components, with the component."""
+def _blocks(crowded: DataFrame, grouped: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Buckets that hold several components, in blocks of at most about 2 * CHUNK nodes.
+
+    Nodes in the component of the bucket's least node (its main one) are compared with the strays of
+    the bucket only, strays with all others; both kinds are cut into chunks, and a block pairs two chunks.
+    """
     told = crowded.join(grouped, "node", "left").select(
         "band", "node", "least", F.coalesce("component", "node").alias("component")
     )
-    mixed = told.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return cut(told.join(mixed.where("low <> high").select("band"), "band"))
+    main = F.max(F.expr("IF(node = least, component, NULL)")).alias("main")
+    buckets = told.groupBy("band").agg(main, F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = told.join(buckets.where("low <> high").select("band", "main"), "band")
+    mixed = cut(mixed.select("band", "node", "component", (F.col("component") != F.col("main")).alias("stray")))
+    counts = mixed.groupBy("band").agg(
+        F.ceil(F.sum(F.expr("IF(stray, 0, 1)")) / CHUNK).cast("int").alias("mains"),
+        F.ceil(F.sum(F.expr("IF(stray, 1, 0)")) / CHUNK).cast("int").alias("strays"),
+    )
+    hashed = F.xxhash64("node")
+    rows = mixed.join(counts, "band").join(nodes.select("node", "signature"), "node")
+    chunk = F.when(F.col("stray"), F.col("mains") + F.pmod(hashed, F.col("strays"))).otherwise(F.pmod(hashed, F.col("mains")))
+    rows = rows.withColumn("chunk", chunk.cast("int"))
+    partners = F.when(F.col("stray"), F.sequence(F.lit(0), F.col("mains") + F.col("strays") - 1)).otherwise(
+        F.sequence(F.col("mains"), F.col("mains") + F.col("strays") - 1)
+    )
+    dealt = rows.withColumn("partner", F.explode(partners))
+    item = F.struct("node", "component", "signature", "chunk")
+    return dealt.groupBy("band", F.least("chunk", "partner").alias("lo"), F.greatest("chunk", "partner").alias("hi")).agg(
+        F.collect_list(item).alias("items")
+    )
 
 
-def _reachable(open_: DataFrame, sets: DataFrame) -> DataFrame:
-    """Per node its set size `n` and how many of its shingles, `m`, some other component has too: no
-    link into another component can share more."""
-    people = open_.select("node", "component").distinct()
-    spread = people.join(sets, "node").select("node", "component", F.explode("shingles").alias("s"))
-    seen = spread.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    shared = F.sum(F.expr("IF(low <> high, 1, 0)"))
-    return spread.join(seen, "s").groupBy("node").agg(F.count("*").alias("n"), shared.alias("m"))
+def _pairs_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of a block that lie in different components and whose signatures agree. A pair that shares
+    several bands is told in the first of them only."""
+    number = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
+    for batch in batches:
+        left, right = [], []
+        for band, lo, hi, items in zip(*[batch.column(i) for i in range(4)], strict=True):
+            items = items.values
+            chunk = items.field("chunk").to_numpy()
+            node = np.array(items.field("node").to_pylist(), dtype=object)
+            _, component = np.unique(node_codes(items.field("component")), return_inverse=True)
+            signature = np.frombuffer(b"".join(items.field("signature").to_pylist()), dtype="<u2").reshape(-1, BANDS * ROWS)
+            bands = mix(signature.view("<u8") ^ number[None, :]).view(np.int64)
+            here = int(np.argmax((bands == band.as_py()).all(axis=0)))
+            first, second = (np.flatnonzero(chunk == c.as_py()) for c in (lo, hi))
+            for i in first:
+                others = second[second > i] if lo.as_py() == hi.as_py() else second
+                others = others[component[others] != component[i]]
+                equal = signature[others] == signature[i]
+                alike = equal.mean(axis=1) >= ESTIMATE
+                whole = equal.reshape(len(others), BANDS, ROWS).all(axis=2)
+                alike &= whole.argmax(axis=1) == here
+                for j in others[alike]:
+                    a, b = sorted((node[i], node[j]))
+                    left.append(a), right.append(b)
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+
+
+def node_codes(nodes: pa.Array) -> np.ndarray:
+    """16-byte names as numpy strings, which sort and compare fast."""
+    return np.frombuffer(b"".join(nodes.to_pylist()), dtype="V16")
 
 
 def near_duplicates(
@@ -178,27 +222,8 @@ def near_duplicates(
     linked = links.verified(stars)
     grouped = components(linked)
 
-    # Second round: the node that can share most is the bucket's hub.
-    open_ = _across(crowded, grouped)
-    rated = open_.join(cut(_reachable(open_, sets)), "node")
-    likely = rated.where(F.col("m") * 100 >= F.col("n") * percent)
-    hubs = likely.groupBy("band").agg(F.max(F.struct(F.col("m") / F.col("n"), "node", "component")).alias("h"))
-    spokes = likely.join(hubs, "band").where("component <> h.component AND node <> least AND h.node <> least")
-    spokes = spokes.select(F.least("node", "h.node").alias("a"), F.greatest("node", "h.node").alias("b"))
-    linked = cut(linked.unionByName(links.verified(spokes.distinct())))
-    grouped = components(linked)
-
-    # Last: all pairs of a bucket in different components that their shared shingles allow.
-    rated = cut(_across(crowded, grouped).join(likely.select("node", "n", "m").distinct(), "node"))
-    left = rated.select("band", F.col("node").alias("a"), F.col("least").alias("la"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("m").alias("ma"))
-    right = rated.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
-    most = F.least("ma", "mb")
-    allowed = most * 100 >= (F.col("na") + F.col("nb") - most) * percent
-    # Pairs with the bucket's least node have been compared.
-    fresh = (F.col("ca") < F.col("cb")) & (F.col("a") != F.col("la")) & (F.col("b") != F.col("la"))
-    across = left.join(right, (left["band"] == right["band"]) & fresh & allowed)
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = links.verified(across)
+    blocks = _blocks(crowded, grouped, nodes)
+    more = links.verified(blocks.mapInArrow(_pairs_of_blocks, "a binary, b binary"))
     if not more.isEmpty():
         grouped = components(linked.unionByName(more))
 
