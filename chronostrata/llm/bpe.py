@@ -1,16 +1,17 @@
 """Byte-level BPE by recursive queries of DuckDB inside each task, and decoding by its aggregation.
 
-Encoding. A task cuts its texts at blanks into chunks and looks these up among the chunks it has
-seen. New chunks are cut into words by the tokenizer's pattern. Words that are tokens themselves are
-done; the others go to DuckDB as rows (word, token position, token), one row per byte to start with.
+Encoding. A task cuts its texts at blanks into chunks, and the distinct chunks into words by the tokenizer's
+pattern. Words the worker has seen before and words that are tokens themselves are done; the others go to
+DuckDB as rows (word, token position, token), one row per byte to start with.
 A recursive query joins neighbours with the merge table, finds the leftmost pair of least rank of
 each word, contracts it, and ends when no word has a pair that merges.
 
-Decoding. The ids of a batch of documents go to DuckDB as rows (document, position, id), are joined
-with the vocabulary, and an aggregation ordered by position puts the bytes together.
+Decoding. Lists of ids go to DuckDB as rows (list, position, id), are joined with the vocabulary, and an
+aggregation ordered by position puts the bytes together. The bytes of a list are those of its parts, so the
+digests of `encode` decode the ids of each distinct word once; `decode` does it for any list.
 
-Memory of a task: one batch of texts, the remembered chunks (forgotten above `MAX_CHUNKS`, which costs
-time only) and DuckDB's own limit. Nothing is shuffled: rows stay where they are.
+Memory of a task: one batch of texts, the remembered words (forgotten above
+`MAX_WORDS`, about 150 MB, which costs time only) and DuckDB's own limit. Nothing is shuffled: rows stay where they are.
 
 Words above `LONG_WORD` bytes (no blank, one kind of character throughout) would need as many rounds
 as they have tokens, each over the whole word; for these alone the same contraction runs over a
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 LONG_WORD = 256
-MAX_CHUNKS = 400_000
+MAX_WORDS = 1_000_000
 TEXT_BYTES = 8 << 20  # texts that are looked up and decoded at a time
 # White space as the tokenizer's pattern counts it.
 BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -77,7 +78,8 @@ class Codec:
 
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        self.chunks: dict[str, tuple[str, bytes]] = {}
+        # Of a word: its ids as decimal text, a zero byte, and the bytes they decode to.
+        self.words: dict[str, bytes] = {}
         left, right, rank = [], [], []
         for token, r in self.ranks.items():
             for k in range(1, len(token)):
@@ -93,7 +95,7 @@ class Codec:
             self.con.unregister("rows_in")
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
 
-    def contract(self, words: list[bytes]) -> list[tuple[int, ...]]:
+    def contract(self, words: list[bytes]) -> list[bytes]:
         """Token ids of words that are no tokens themselves, by the recursive query."""
         if not words:
             return []
@@ -105,11 +107,11 @@ class Codec:
         self.con.register("bytes_in", pa.table({"w": word, "p": place, "t": self.byte_ids[data]}))
         out = self.con.sql(CONTRACT).to_arrow_table()
         self.con.unregister("bytes_in")
-        w, t = out["w"].to_numpy(), out["t"].to_numpy().tolist()
-        ends = np.searchsorted(w, np.arange(len(words)), side="right").tolist()
-        return [tuple(t[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        ends = np.searchsorted(out["w"].to_numpy(), np.arange(len(words)), side="right") * 4
+        ids = out["t"].to_numpy().astype(np.int32).tobytes()
+        return [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
 
-    def contract_long(self, word: bytes) -> tuple[int, ...]:
+    def contract_long(self, word: bytes) -> bytes:
         """The same contraction of one very long word, with a heap of pairs and linked positions."""
         ids = self.byte_ids[np.frombuffer(word, dtype=np.uint8)].tolist()
         end = list(range(1, len(word) + 1))
@@ -134,49 +136,65 @@ class Codec:
             offer(p)
             if left[p] >= 0:
                 offer(left[p])
-        return tuple(i for i in ids if i >= 0)
+        return np.array([i for i in ids if i >= 0], dtype=np.int32).tobytes()
 
-    def learn(self, chunks: set[str]) -> None:
-        """Remembers the ids of chunks: as decimal text and as 32-bit numbers."""
-        cut = {c: self.pattern.findall(c) for c in chunks}
-        known: dict[str, tuple[int, ...]] = {}
+    def learn(self, words: set[str]) -> None:
+        """Remembers what new words encode and decode to."""
+        ids: dict[str, bytes] = {}
         todo: list[str] = []
-        for w in {w for ws in cut.values() for w in ws}:
+        for w in words:
             data = w.encode()
             if (r := self.ranks.get(data)) is not None:
-                known[w] = (r,)
+                ids[w] = np.int32(r).tobytes()
             elif len(data) > LONG_WORD:
-                known[w] = self.contract_long(data)
+                ids[w] = self.contract_long(data)
             else:
                 todo.append(w)
         for at in range(0, len(todo), 50_000):
             part = todo[at : at + 50_000]
-            known.update(zip(part, self.contract([w.encode() for w in part]), strict=True))
-        for c, ws in cut.items():
-            ids = [i for w in ws for i in known[w]]
-            self.chunks[c] = (" ".join(map(str, ids)), np.array(ids, dtype=np.int32).tobytes())
-
-    def encode(self, texts: list[str]) -> list[tuple[str, np.ndarray]]:
-        """Of each text its ids as decimal text and as numbers."""
-        cut = [CHUNK.findall(t) for t in texts]
-        if len(self.chunks) > MAX_CHUNKS:
-            self.chunks.clear()
-        if new := {c for cs in cut for c in cs}.difference(self.chunks):
+            ids.update(zip(part, self.contract([w.encode() for w in part]), strict=True))
+        texts = self.decode([np.frombuffer(i, dtype=np.int32) for i in ids.values()])
+        for (w, i), text in zip(ids.items(), texts, strict=True):
+            self.words[w] = " ".join(map(str, memoryview(i).cast("i").tolist())).encode() + b"\0" + text
+
+    def looked_up(self, chunks: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Of each chunk its ids as decimal text, and the bytes they decode to."""
+        # Letters behind at most one blank are one word of the pattern.
+        mixed = {c: self.pattern.findall(c) for c in chunks if not c.removeprefix(" ").isalpha()}
+        words = {w for ws in mixed.values() for w in ws}
+        words.update(c for c in chunks if c not in mixed)
+        if new := words.difference(self.words):
+            if len(self.words) + len(new) > MAX_WORDS:
+                self.words.clear()
+                new = words
             self.learn(new)
-        out = []
-        for cs in cut:
-            found = [self.chunks[c] for c in cs]
-            out.append((" ".join([f[0] for f in found]), np.frombuffer(b"".join([f[1] for f in found]), dtype=np.int32)))
-        return out
+        ids, texts = {}, {}
+        for w in words:
+            ids[w], _, texts[w] = self.words[w].partition(b"\0")
+        for c, ws in mixed.items():
+            if len(ws) > 1:  # a single word is the chunk itself
+                ids[c] = b" ".join([ids[w] for w in ws])
+                texts[c] = b"".join([texts[w] for w in ws])
+        return ids, texts
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Of each text its ids as decimal text joined by blanks, and the bytes they decode to."""
+        cut = [CHUNK.findall(t) for t in texts]
+        ids, decoded = self.looked_up({c for cs in cut for c in cs})
+        one, other = ids.__getitem__, decoded.__getitem__
+        return [(b" ".join(map(one, cs)), b"".join(map(other, cs))) for cs in cut]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         size = np.array([len(i) for i in ids])
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), size)
         place = np.arange(len(doc), dtype=np.int32)
         self.con.register("ids_in", pa.table({"d": doc, "p": place, "id": np.concatenate([np.empty(0, np.int32), *ids])}))
-        found = dict(self.con.sql(JOIN_UP).fetchall())
+        found = self.con.sql(JOIN_UP).to_arrow_table()
         self.con.unregister("ids_in")
-        return [bytes.fromhex(found.get(d, "")) for d in range(len(ids))]
+        out = [b""] * len(ids)
+        for d, text in zip(found["d"].to_pylist(), found["hex"].to_pylist(), strict=True):
+            out[d] = bytes.fromhex(text)
+        return out
 
 
 @functools.cache
@@ -226,15 +244,15 @@ def encode(
         for part in _parts(batches, "_text"):
             told = own.encode([x or "" for x in part.column("_text").to_pylist()])
             columns = [part.column(i) for i in range(len(keep))]
-            numbers = [t[1] for t in told]
             if keep_ids:
+                numbers = [np.array(t[0].split(), dtype=np.int32) for t in told]
                 offsets = np.concatenate([[0], np.cumsum([len(n) for n in numbers])]).astype(np.int32)
                 flat = pa.array(np.concatenate([np.empty(0, np.int32), *numbers]))
                 columns.append(pa.ListArray.from_arrays(offsets, flat))
             if digests:
-                columns.append(pa.array([len(n) for n in numbers], pa.int64()))
-                columns.append(pa.array([hashlib.sha256(t[0].encode()).hexdigest() for t in told]))
-                columns.append(pa.array([hashlib.sha256(b).hexdigest() for b in own.decode(numbers)]))
+                columns.append(pa.array([t[0].count(b" ") + 1 if t[0] else 0 for t in told], pa.int64()))
+                columns.append(pa.array([hashlib.sha256(t[0]).hexdigest() for t in told]))
+                columns.append(pa.array([hashlib.sha256(t[1]).hexdigest() for t in told]))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.selectExpr(*[f"`{c}`" for c in keep], f"`{text}` AS _text").mapInArrow(run, schema)

@@ -114,3 +114,20 @@ def training_order(placed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """One row per use of a document, range-sorted by its time (`position`)."""
     used = placed.select("*", F.explode("positions").alias("position"))
     return used.orderBy("position", F.col(doc_id))
+
+
+def mixed_documents(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options
+) -> DataFrame:
+    """The documents in training order, with the input's columns: each as often as the mix uses it.
+
+    Places are worked out without the texts; texts are shuffled once to meet their places and once to be
+    sorted. Rows of equal id and text are one document whose uses add up."""
+    keyed = docs.withColumn("_key", F.md5(F.coalesce(F.col(text), F.lit(""))))
+    slim = keyed.select(F.col(doc_id).alias("_id"), "_key", F.col(text).alias("_text"), F.col(source).alias("_source"))
+    placed = curriculum(slim, "_id", "_text", "_source", **options)
+    uses = cut(placed.groupBy("_id", "_key").agg(F.flatten(F.collect_list("positions")).alias("positions")))
+    uses = uses.where(F.size("positions") > 0).withColumnRenamed("_key", "_use")
+    on = keyed[doc_id].eqNullSafe(uses["_id"]) & (keyed["_key"] == uses["_use"])
+    found = keyed.dropDuplicates([doc_id, "_key"]).join(uses, on)
+    return training_order(found, doc_id).select(*docs.columns)
