@@ -89,16 +89,16 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
     # One struct per scan of the text: the filter on its size keeps the optimiser from computing
     # it again for every field.
-    out = docs.withColumns({"_w": let(words(raw), counted), "_l": let(lines, line_counts)})
+    out = docs.withColumns({"_wc": let(words(raw), counted), "_lc": let(lines, line_counts)})
     found = {
-        "n_words": F.col("_w.n_words"),
-        "word_chars": F.col("_w.word_chars"),
+        "n_words": F.col("_wc.n_words"),
+        "word_chars": F.col("_wc.word_chars"),
         "n_symbols": F.length(F.regexp_replace(raw, f"[^{SYMBOLS}]+", "")),
-        "n_lines": F.col("_l.n_lines"),
-        "n_dup_lines": F.col("_l.n_dup_lines"),
-        "n_repeat_words": F.col("_w.n_repeat_words"),
+        "n_lines": F.col("_lc.n_lines"),
+        "n_dup_lines": F.col("_lc.n_dup_lines"),
+        "n_repeat_words": F.col("_wc.n_repeat_words"),
     }
-    out = out.withColumns({k: v.cast("long") for k, v in found.items()}).drop("_w", "_l")
+    out = out.withColumns({k: v.cast("long") for k, v in found.items()}).drop("_wc", "_lc")
     failed = (F.col("n_words") < MIN_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT
     )
@@ -163,21 +163,34 @@ def _verdict(counted: DataFrame, bounds: DataFrame, lang: str, source: str) -> D
     return counted.join(bounds, on, "left").withColumn("kept", kept).drop(*bounds.columns)
 
 
+def _packed(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
+    """The input's columns in one struct beside the three that are read, so that names cannot clash."""
+    return docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(text).alias("_text"),
+        F.col(lang).alias("_lang0"),
+        F.col(source).alias("_source0"),
+    )
+
+
 def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """All rows without their text, with the base counts, `base_failed` and `kept`.
 
     The counts are written to the shared folder once; sketches and verdicts read them there.
     """
-    counted = cut(with_counts(docs, text).drop(text))
-    return _verdict(counted, fences(sketches(counted, lang, source)), lang, source)
+    added = [*COUNTS, "base_failed", "kept"]
+    rest = [c for c in docs.columns if c != text and c.lower() not in added]
+    packed = _packed(docs, text, lang, source).withColumn("_row", F.struct(F.lit(0).alias("_"), *[F.col(f"_row.`{c}`") for c in rest]))
+    counted = cut(with_counts(packed, "_text").drop("_text"))
+    told = _verdict(counted, fences(sketches(counted, "_lang0", "_source0")), "_lang0", "_source0")
+    return told.select(*[F.col(f"_row.`{c}`") for c in rest], *added)
 
 
 def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows that are kept, as they were. The fences are written to the shared folder; the
     counts are computed again beside the text, so that no text is written or shuffled for it."""
-    keep = F.struct(*docs.columns).alias("_row")
-    needed = docs.select(keep, F.col(text).alias("_text"), F.col(lang).alias("_l"), F.col(source).alias("_s"))
-    bare = with_counts(needed.drop("_row"), "_text").drop("_text")
-    bounds = cut(fences(sketches(bare, "_l", "_s")))
-    counted = with_counts(needed, "_text").drop("_text")
-    return _verdict(counted, bounds, "_l", "_s").where("kept").select("_row.*")
+    packed = _packed(docs, text, lang, source)
+    bare = with_counts(packed.drop("_row"), "_text").drop("_text")
+    bounds = cut(fences(sketches(bare, "_lang0", "_source0")))
+    counted = with_counts(packed, "_text").drop("_text")
+    return _verdict(counted, bounds, "_lang0", "_source0").where("kept").select("_row.*")
