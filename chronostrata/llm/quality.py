@@ -30,8 +30,8 @@ WINDOW = 5
 # lower fence). A fence stands 3 spreads outside a quartile; the spread is the distance of the
 # quartiles but never under the least one, since many groups are all zeros.
 METRICS: dict[str, tuple[str, str, int, int, bool]] = {
-    "symbols": ("n_symbols", "word_chars", 1000, 50, False),
-    "dup_lines": ("n_dup_lines", "n_lines", 1000, 100, False),
+    "symbols": ("n_symbols", "word_chars", 1000, 30, False),
+    "dup_lines": ("n_dup_lines", "n_lines", 1000, 200, False),
     "word_len": ("word_chars", "n_words", 100, 100, True),
 }
 SPREADS = 3

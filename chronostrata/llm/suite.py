@@ -47,8 +47,8 @@ q AS (
   GROUP BY lang, source, metric),
 f AS (
   SELECT lang, source,
-    max(q3 + 3 * greatest(q3 - q1, 50)) FILTER (WHERE metric = 'symbols') AS sym_high,
-    max(q3 + 3 * greatest(q3 - q1, 100)) FILTER (WHERE metric = 'dup_lines') AS dup_high,
+    max(q3 + 3 * greatest(q3 - q1, 30)) FILTER (WHERE metric = 'symbols') AS sym_high,
+    max(q3 + 3 * greatest(q3 - q1, 200)) FILTER (WHERE metric = 'dup_lines') AS dup_high,
     max(q3 + 3 * greatest(q3 - q1, 100)) FILTER (WHERE metric = 'word_len') AS len_high,
     max(q1 - 3 * greatest(q3 - q1, 100)) FILTER (WHERE metric = 'word_len') AS len_low
   FROM q GROUP BY lang, source)
