@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from chronostrata.llm.spans import pieces
+
 LONG_WORD = 256
 MAX_WORDS = 1_000_000
 TEXT_BYTES = 8 << 20  # texts that are looked up and decoded at a time
@@ -202,17 +204,6 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that their texts have some megabytes; one longer text makes a part alone."""
-    for batch in batches:
-        size = np.array([len(x or "") for x in batch.column(column).to_pylist()], dtype=np.int64)
-        group = np.cumsum(size) // TEXT_BYTES
-        ends = [*(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
-        for a, b in zip([0, *ends[:-1]], ends, strict=True):
-            if b > a:
-                yield batch.slice(a, b - a)
-
-
 def _added(docs: DataFrame, fields: list[T.StructField]) -> tuple[list[str], T.StructType]:
     keep = [f for f in docs.schema.fields if f.name not in {x.name for x in fields}]
     return [f.name for f in keep], T.StructType([*keep, *fields])
@@ -241,8 +232,8 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for part in _parts(batches, "_text"):
-            told = own.encode([x or "" for x in part.column("_text").to_pylist()])
+        for part in pieces(batches, len(keep), TEXT_BYTES):
+            told = own.encode([x or "" for x in part.column(len(keep)).to_pylist()])
             columns = [part.column(i) for i in range(len(keep))]
             if keep_ids:
                 numbers = [np.array(t[0].split(), dtype=np.int32) for t in told]
@@ -266,7 +257,7 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            lists = [np.array(x if x is not None else [], dtype=np.int32) for x in batch.column("_ids").to_pylist()]
+            lists = [np.array(x if x is not None else [], dtype=np.int32) for x in batch.column(len(keep)).to_pylist()]
             texts = [b.decode("utf-8", "replace") for b in own.decode(lists)]
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronostrata.llm.native import mixed_order, slice_bits, with_running, word_count
+from chronostrata.llm.native import from_row, mixed_order, slice_bits, whole_row, with_running, word_count
 from chronostrata.session import cut
 
 MAX_REPEATS = 3
@@ -85,15 +85,15 @@ def curriculum(
 ) -> DataFrame:
     """Every row with `size`, `source_size`, `target` and `positions`: the times at which the row is
     used, none for a row that is left out. `weights` go round over the sources by name."""
-    rest = [c for c in docs.columns if c not in ("size", "source_size", "target", "positions", text)]
+    added = ["size", "source_size", "target", "positions"]
+    rest = [c for c in docs.columns if c != text and c.lower() not in added]
     slim = docs.select(
-        *[F.col(c) for c in rest],
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("_row"),
+        F.col(doc_id).alias("_id"),
         word_count(F.col(text)).alias("size"),
         _part(F.col(source)).alias("_part"),
-    ).withColumn("_u", mixed_order(seed, F.col(doc_id), F.col("size")))
-    return _placed(cut(slim), doc_id, weights, max_repeats, total).select(
-        *rest, "size", "source_size", "target", "positions"
-    )
+    ).withColumn("_u", mixed_order(seed, F.col("_id"), F.col("size")))
+    return _placed(cut(slim), "_id", weights, max_repeats, total).select(*from_row(rest), *added)
 
 
 def _placed(slim: DataFrame, doc_id: str, weights: tuple[int, ...], max_repeats: int, total: int | None) -> DataFrame:
@@ -123,11 +123,16 @@ def mixed_documents(
 
     Places are worked out without the texts; texts are shuffled once to meet their places and once to be
     sorted. Rows of equal id and text are one document whose uses add up."""
-    keyed = docs.withColumn("_key", F.md5(F.coalesce(F.col(text), F.lit(""))))
-    slim = keyed.select(F.col(doc_id).alias("_id"), "_key", F.col(text).alias("_text"), F.col(source).alias("_source"))
-    placed = curriculum(slim, "_id", "_text", "_source", **options)
+    keyed = docs.select(
+        whole_row(docs),
+        F.col(doc_id).alias("_id"),
+        F.md5(F.coalesce(F.col(text), F.lit(""))).alias("_key"),
+        F.col(text).alias("_text"),
+        F.col(source).alias("_source"),
+    )
+    placed = curriculum(keyed.drop("_row"), "_id", "_text", "_source", **options)
     uses = cut(placed.groupBy("_id", "_key").agg(F.flatten(F.collect_list("positions")).alias("positions")))
-    uses = uses.where(F.size("positions") > 0).withColumnRenamed("_key", "_use")
-    on = keyed[doc_id].eqNullSafe(uses["_id"]) & (keyed["_key"] == uses["_use"])
-    found = keyed.dropDuplicates([doc_id, "_key"]).join(uses, on)
-    return training_order(found, doc_id).select(*docs.columns)
+    uses = uses.where(F.size("positions") > 0).select(F.col("_id").alias("_use_id"), F.col("_key").alias("_use"), "positions")
+    once = keyed.select("_row", "_id", "_key").dropDuplicates(["_id", "_key"])
+    found = once.join(uses, once["_id"].eqNullSafe(uses["_use_id"]) & (once["_key"] == uses["_use"]))
+    return training_order(found, "_id").select(*from_row(docs.columns))

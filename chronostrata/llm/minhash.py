@@ -10,8 +10,9 @@
    this fails in 1 of 10^8 cases), then the full sets. Components of these links come next.
 4. Only links between nodes of a bucket that lie in different components can still matter: strays
    against the bucket's main component and against each other. Their signatures are compared in blocks of
-   bounded size; pairs that agree go on to the full sets, and the components are taken again. A
-   large group of near copies is one component by then, so the pairs within it are never listed.
+   bounded size; pairs that agree go on to the full sets, and the components are taken again. The most
+   alike pairs go first, twice, and then all that are left: a large group of near copies is one component
+   by then, so the pairs within it are never listed.
 
 Links inside a component that step 3 has found are not listed: the component is the result.
 
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronostrata.llm.components import components
+from chronostrata.llm.native import from_row, whole_row
 from chronostrata.llm.spans import mix, pieces, shingle_hashes, word_hashes
 from chronostrata.session import cut
 
@@ -39,6 +41,9 @@ _RNG = np.random.default_rng(7)
 MULTIPLY = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 ADD = _RNG.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 ESTIMATE = 0.6
+# Rounds over the pairs across components: the three most alike of each node first, which leaves few
+# components; then all pairs that are left.
+BEST_ROUNDS = (3, 3, None)
 CHUNK = 1024  # nodes of a bucket that are compared at a time; all are compared
 
 
@@ -160,32 +165,41 @@ def _blocks(crowded: DataFrame, grouped: DataFrame, nodes: DataFrame) -> DataFra
     )
 
 
-def _pairs_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a block that lie in different components and whose signatures agree. A pair that shares
-    several bands is told in the first of them only."""
+def _pairs_of_blocks(best: int | None):
+    """Pairs of a block that lie in different components and whose signatures agree: of each node the
+    `best` ones, or all. A pair that shares several bands is told in the first of them only."""
     number = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
-    for batch in batches:
-        left, right = [], []
-        for band, lo, hi, items in zip(*[batch.column(i) for i in range(4)], strict=True):
-            items = items.values
-            chunk = items.field("chunk").to_numpy()
-            node = np.array(items.field("node").to_pylist(), dtype=object)
-            _, component = np.unique(node_codes(items.field("component")), return_inverse=True)
-            signature = np.frombuffer(b"".join(items.field("signature").to_pylist()), dtype="<u2").reshape(-1, BANDS * ROWS)
-            bands = mix(signature.view("<u8") ^ number[None, :]).view(np.int64)
-            here = int(np.argmax((bands == band.as_py()).all(axis=0)))
-            first, second = (np.flatnonzero(chunk == c.as_py()) for c in (lo, hi))
-            for i in first:
-                others = second[second > i] if lo.as_py() == hi.as_py() else second
-                others = others[component[others] != component[i]]
-                equal = signature[others] == signature[i]
-                alike = equal.mean(axis=1) >= ESTIMATE
-                whole = equal.reshape(len(others), BANDS, ROWS).all(axis=2)
-                alike &= whole.argmax(axis=1) == here
-                for j in others[alike]:
-                    a, b = sorted((node[i], node[j]))
-                    left.append(a), right.append(b)
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            for band, lo, hi, items in zip(*[batch.column(i) for i in range(4)], strict=True):
+                items = items.values
+                chunk = items.field("chunk").to_numpy()
+                node = items.field("node").to_pylist()
+                _, component = np.unique(node_codes(items.field("component")), return_inverse=True)
+                signature = np.frombuffer(b"".join(items.field("signature").to_pylist()), dtype="<u2").reshape(-1, BANDS * ROWS)
+                bands = mix(signature.view("<u8") ^ number[None, :]).view(np.int64)
+                here = int(np.argmax((bands == band.as_py()).all(axis=0)))
+                first, second = (np.flatnonzero(chunk == c.as_py()) for c in (lo, hi))
+                sides = [(first, second)] if lo.as_py() == hi.as_py() or best is None else [(first, second), (second, first)]
+                for own, across in sides:
+                    for i in own:
+                        others = across[across > i] if lo.as_py() == hi.as_py() and best is None else across
+                        others = others[component[others] != component[i]]
+                        equal = signature[others] == signature[i]
+                        count = np.count_nonzero(equal, axis=1)
+                        alike = np.flatnonzero(count >= ESTIMATE * BANDS * ROWS)
+                        alike = alike[(bands[others[alike]] == bands[i]).argmax(axis=1) == here]
+                        others, count = others[alike], count[alike]
+                        if best is not None and len(others) > best:
+                            others = others[np.argsort(-count, kind="stable")[:best]]
+                        for j in others:
+                            a, b = sorted((node[i], node[j]))
+                            left.append(a), right.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
+
+    return run
 
 
 def node_codes(nodes: pa.Array) -> np.ndarray:
@@ -222,10 +236,12 @@ def near_duplicates(
     linked = links.verified(stars)
     grouped = components(linked)
 
-    blocks = _blocks(crowded, grouped, nodes)
-    more = links.verified(blocks.mapInArrow(_pairs_of_blocks, "a binary, b binary"))
-    if not more.isEmpty():
-        grouped = components(linked.unionByName(more))
+    for best in BEST_ROUNDS:
+        pairs = _blocks(crowded, grouped, nodes).mapInArrow(_pairs_of_blocks(best), "a binary, b binary")
+        more = links.verified(pairs.distinct())
+        if not more.isEmpty():
+            linked = cut(linked.unionByName(more))
+            grouped = components(linked)
 
     rows = members.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Struct order puts null ids first; the flag makes them last.
@@ -248,7 +264,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     Rows without shingles are components of their own."""
     told = near_duplicates(docs, doc_id, text, shingle, percent)
     kept = told.where(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_key") == F.col("first_key")))
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_kept_key")).distinct()
-    keyed = docs.withColumn("_key", text_key(F.col(text)))
-    on = keyed[doc_id].eqNullSafe(kept["_id"]) & (keyed["_key"] == kept["_kept_key"])
-    return keyed.join(kept, on, "left_semi").dropDuplicates([doc_id, "_key"]).drop("_key")
+    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_key")).distinct()
+    keyed = docs.select(whole_row(docs), F.col(doc_id).alias("_id"), text_key(F.col(text)).alias("_key"))
+    on = keyed["_id"].eqNullSafe(kept["_kept_id"]) & (keyed["_key"] == kept["_kept_key"])
+    return keyed.join(kept, on, "left_semi").dropDuplicates(["_id", "_key"]).select(*from_row(docs.columns))

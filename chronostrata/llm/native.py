@@ -17,6 +17,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns in one struct, `_row`, so that added columns cannot clash with the input's."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+
+
+def from_row(columns: Sequence[str]) -> list[Column]:
+    return [F.col(f"_row.`{c}`") for c in columns]
+
+
 def words(text: Column) -> Column:
     """Words of a text in order; no words for a null, empty or blank text."""
     trimmed = F.trim(text, F.lit(SPACES))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronostrata.llm.native import SPACES, let, words
+from chronostrata.llm.native import SPACES, from_row, let, whole_row, words
 from chronostrata.session import cut
 
 SYMBOLS = "#*$%&|<>"
@@ -166,7 +166,7 @@ def _verdict(counted: DataFrame, bounds: DataFrame, lang: str, source: str) -> D
 def _packed(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     """The input's columns in one struct beside the three that are read, so that names cannot clash."""
     return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        whole_row(docs),
         F.col(text).alias("_text"),
         F.col(lang).alias("_lang0"),
         F.col(source).alias("_source0"),
@@ -180,10 +180,10 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     """
     added = [*COUNTS, "base_failed", "kept"]
     rest = [c for c in docs.columns if c != text and c.lower() not in added]
-    packed = _packed(docs, text, lang, source).withColumn("_row", F.struct(F.lit(0).alias("_"), *[F.col(f"_row.`{c}`") for c in rest]))
+    packed = _packed(docs, text, lang, source).withColumn("_row", F.struct(F.lit(0).alias("_"), *from_row(rest)))
     counted = cut(with_counts(packed, "_text").drop("_text"))
     told = _verdict(counted, fences(sketches(counted, "_lang0", "_source0")), "_lang0", "_source0")
-    return told.select(*[F.col(f"_row.`{c}`") for c in rest], *added)
+    return told.select(*from_row(rest), *added)
 
 
 def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:

@@ -23,7 +23,7 @@ import heapq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronostrata.llm.native import mixed_order, slice_bits, with_running
+from chronostrata.llm.native import from_row, mixed_order, slice_bits, with_running
 from chronostrata.session import cut
 
 HEAVY_PARTS = 64
@@ -78,18 +78,19 @@ def interleaved_shards(
 ) -> DataFrame:
     """All rows without their text, with `size`, `text_crc32`, `law`, `shard`, `slot`, `grown_shard`."""
     added = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-    rest = [c for c in docs.columns if c not in (*added, text)]
+    rest = [c for c in docs.columns if c != text and c.lower() not in added]
     raw = F.coalesce(F.col(text), F.lit(""))
     slim = docs.select(
-        *rest,
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("_row"),
+        F.col(doc_id).alias("_id"),
         (F.octet_length(raw) + 1).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
         F.unhex(F.md5(raw)).alias("_key"),
         F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("z")).alias("_part"),
     )
-    slim = cut(slim.withColumn("_u", mixed_order(seed, F.col(doc_id), F.col("text_crc32"))))
+    slim = cut(slim.withColumn("_u", mixed_order(seed, F.col("_id"), F.col("text_crc32"))))
     n_rows = slim.count()
-    ranked = cut(fractional_ranks(slim, "_part", "_u", [doc_id, "size"], n_rows))
+    ranked = cut(fractional_ranks(slim, "_part", "_u", ["_id", "size"], n_rows))
     groups = cut(ranked.groupBy("_key").agg(F.sum("size").alias("_bytes"), F.min("_rank").alias("_at")))
 
     total = groups.agg(F.sum("_bytes")).first()[0] or 0
@@ -115,10 +116,10 @@ def interleaved_shards(
     # A key with very many rows is a skewed join key, which adaptive execution splits.
     sharded = ranked.join(dealt, "_key").withColumn("_one", F.lit(1))
     slotted = with_running(
-        cut(sharded), "shard", "_rank", ["_u", doc_id], {"_one": "slot"}, slice_bits(n_rows // n_shards), RANK_BITS
+        cut(sharded), "shard", "_rank", ["_u", "_id"], {"_one": "slot"}, slice_bits(n_rows // n_shards), RANK_BITS
     )
     return slotted.select(
-        *rest,
+        *from_row(rest),
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
