@@ -29,7 +29,8 @@ def scd2_backfill(
 
     grain="day": the last event of a day stands for the day; periods are dates. A key then has
     at most one row per day, so its window stays small however many events it has.
-    grain="ts": every change counts; `(ts_col, *tie)` must order the events of a key totally.
+    grain="ts": every change counts; `(ts_col, *tie)` must order the events of a key totally. Of
+    events of one moment the last counts, so no period is empty.
     `carry` names columns taken over from the event that opened the period, `previous` those
     whose value in the period before is added as `previous_<column>`. All windows share one
     shuffle and one sort.
@@ -41,6 +42,8 @@ def scd2_backfill(
     if grain == "day":
         log = last_of_day(log, key, ts_col, tie)
         at, order, hot_rows = F.col("_day"), ("_day",), None
+    elif tie:
+        log = latest_by_key(log, [key, ts_col], [F.desc(c) for c in tie])
     rows = in_order(log.withColumn("hashdiff", hashdiff(*attrs)), key, order, hot_rows)
     changes = with_prev(rows, {"_before": "hashdiff"}).where(differs("hashdiff", "_before"))
     periods = with_next(changes, {"valid_to": at})
@@ -159,11 +162,14 @@ def scd2_append_rows(
         start = F.coalesce(start, as_date(as_of))
     incoming = src.select(key, *attrs, start.alias("valid_from")).withColumn("hashdiff", hashdiff(*attrs))
     newest = append_only_current(dim, key).withColumn("hashdiff", hashdiff(*attrs))
-    return new_or_changed(incoming, newest, key).drop("hashdiff")
+    fresh = new_or_changed(incoming, newest, key).drop("hashdiff")
+    # A change that is dated back adds its version once, however often it is sent.
+    return anti(fresh, dim, [key, "valid_from"])
 
 
 def append_only_current(dim: DataFrame, key: str, start: str = "valid_from") -> DataFrame:
-    return latest_by_key(dim, key, [F.desc(start)])
+    """The newest version of each key; of several from one day the one with the greatest hash."""
+    return latest_by_key(dim, key, [F.desc(start), F.desc(F.xxhash64(*dim.columns))])
 
 
 def scd0(dim: DataFrame, src: DataFrame, key: str, ts_col: str) -> DataFrame:

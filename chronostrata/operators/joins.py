@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronostrata.functions import as_date, differs, valid_at
@@ -42,17 +42,34 @@ def join_as_of(
 ) -> DataFrame:
     """Each fact with the version valid at its time; facts without one are left out.
 
+    A fact gets one version at most: of the versions that start at or before its time the last one, if
+    it is still valid. Versions of equal start are ordered by a hash of their columns, empty periods do not
+    count. So touching and overlapping periods give the same rows whatever the length of a history.
+
     The longest history of a key is looked up first (one count over the key column of
     `history`). Up to `max_versions` rows the join is equality on the key with the period as a
     condition, so that a small history is broadcast and the facts stay where they are. Above it
     a heavy key would compare all its facts to all its versions; `join_as_of_long` does not.
     """
+    history = _periods(history, valid_from, valid_to, closed)
     longest = history.groupBy(key).count().agg(F.max("count")).first()[0] or 0
     if longest > max_versions:
         return join_as_of_long(facts, history, key, ts_col, valid_from, valid_to, closed)
-    versions = history.withColumnRenamed(key, "_key")
+    following = F.lead(valid_from).over(Window.partitionBy(key).orderBy(valid_from, _version_order(history, key)))
+    versions = history.withColumn("_next", following).withColumnRenamed(key, "_key")
     at = valid_at(facts[ts_col], versions[valid_from], versions[valid_to], closed)
-    return facts.join(versions, (facts[key] == versions["_key"]) & at).drop("_key")
+    last = versions["_next"].isNull() | (facts[ts_col] < versions["_next"])
+    return facts.join(versions, (facts[key] == versions["_key"]) & at & last).drop("_key", "_next")
+
+
+def _periods(history: DataFrame, valid_from: str, valid_to: str, closed: bool) -> DataFrame:
+    """Without the periods that hold no moment."""
+    start, end = F.col(valid_from), F.col(valid_to)
+    return history.where(end.isNull() | (end >= start if closed else end > start))
+
+
+def _version_order(history: DataFrame, key: str) -> Column:
+    return F.xxhash64(*[c for c in history.columns if c != key])
 
 
 def join_as_of_long(
@@ -68,13 +85,14 @@ def join_as_of_long(
     """`join_as_of` for histories of any length.
 
     Facts and versions are sorted together by (key, time) and the last version carried on to
-    the facts after it. Needs periods that do not overlap within a key (`check_overlap`).
+    the facts after it.
     """
+    history = _periods(history, valid_from, valid_to, closed)
     version_cols = [c for c in history.columns if c != key]
     fact_cols = [c for c in facts.columns if c != key]
     version, fact = F.struct(*version_cols), F.struct(*fact_cols)
     starts = history.select(
-        key, F.col(valid_from).alias("_at"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_nth"),
+        key, F.col(valid_from).alias("_at"), F.lit(0).alias("_kind"), _version_order(history, key).alias("_nth"),
         version.alias("_version"), F.lit(None).alias("_fact"),
     )
     # Facts of one moment need no order among themselves; the id only makes it total.

@@ -4,6 +4,7 @@ append; nothing stored is rewritten. Pass `None` for a table that does not exist
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,13 +44,37 @@ def hub_load(hub: DataFrame | None, src: DataFrame, bk: str, hk: str) -> DataFra
 
 
 def link_load(link: DataFrame | None, src: DataFrame, hk: str, parts: Mapping[str, str]) -> DataFrame:
-    """New relations: `parts` maps each hub hash key column to its business key column in `src`."""
-    keyed = src.select(
+    """New relations: `parts` maps each hub hash key column to its business key column in `src`. Rows
+    that lack a business key belong to no hub; `link_rejects` returns them."""
+    keyed = src.where(_complete(parts)).select(
         hash_key(*parts.values()).alias(hk), *[hash_key(b).alias(h) for h, b in parts.items()], SOURCE, LOADED
     )
     return _not_stored(_first_seen(keyed, [hk, *parts]), link, [hk])
 
 
+def link_rejects(src: DataFrame, parts: Mapping[str, str]) -> DataFrame:
+    """Rows of `src` that make no link because a business key is missing."""
+    return src.where(~_complete(parts))
+
+
+def _complete(parts: Mapping[str, str]) -> Column:
+    return functools.reduce(Column.__and__, [F.col(b).isNotNull() for b in parts.values()])
+
+
+def sat_late(sat: DataFrame, src: DataFrame, hk: str, attrs: Sequence[str]) -> DataFrame:
+    """Rows of `src` that `sat_load` leaves out because a later version is stored, but that are no replay:
+    no stored version of their load time has their attributes. For a repair or a reject table."""
+    newest = sat.groupBy(hk).agg(F.max(LOADED).alias("_since"))
+    late = src.join(newest, hk).where(F.col(LOADED) <= F.col("_since")).drop("_since")
+    known = effectivity(sat, hk).select(
+        F.col(hk).alias("_key"), F.col("hashdiff").alias("_stored"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
+    )
+    told = late.withColumn("_hash", hashdiff(*attrs))
+    during = (F.col(LOADED) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(LOADED) < F.col("_to")))
+    same = (F.col(hk) == F.col("_key")) & (F.col("_hash") == F.col("_stored")) & during
+    return told.join(known, same, "left_anti").drop("_hash")
+
+
 def sat_load(
     sat: DataFrame | None,
     src: DataFrame,
@@ -59,12 +84,15 @@ def sat_load(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Rows of `src` whose attributes differ from the version before them, the stored one for
-    the first row of a batch. `(load_dttm, *tie)` orders the rows of a key totally. Load times
-    only grow: a row not later than the key's newest stored version is a replay and skipped.
+    the first row of a batch. `(load_dttm, *tie)` orders the rows of a key totally; of one load time
+    the last row counts. A row not later than the key's newest stored version is skipped: it
+    is a replay, or one of the rows `sat_late` returns.
 
     The join and the window share one shuffle of the batch.
     """
     incoming = src.select(hk, hashdiff(*attrs).alias("hashdiff"), *attrs, SOURCE, LOADED, *tie)
+    if tie:
+        incoming = latest_by_key(incoming, [hk, LOADED], [F.desc(c) for c in tie])
     stored_hash = F.lit(None).cast("string")
     if sat is not None:
         newest = latest_by_key(sat, hk, [F.desc(LOADED)]).select(

@@ -57,7 +57,10 @@ def daily_history_sql(source: str, key: str = "user_id", attr: str = "status", t
 
 LOG_SQL = "log AS (SELECT user_id, event_type AS status, ts, event_id FROM events)"
 DAILY_SQL = f"{LOG_SQL}, {daily_history_sql('log')}"
-TS_SQL = f"""{LOG_SQL},
+TS_SQL = f"""all_log AS (SELECT user_id, event_type AS status, ts, event_id FROM events),
+    log AS (
+      SELECT user_id, status, ts, event_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn FROM all_log) x WHERE rn = 1),
     told AS (
       SELECT *, md5(lower(trim(status))) AS hashdiff,
              lag(md5(lower(trim(status)))) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prior_hash FROM log),

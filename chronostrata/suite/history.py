@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from chronostrata.functions import effective_ts, hashdiff, is_current, valid_at, version_key
@@ -42,6 +44,14 @@ def scd2_backfill_daily(spark, sf):
     return daily_history(spark, sf)
 
 
+@query("scd2_stamped", f"""
+    WITH {DAILY_SQL} SELECT {COLS}, CAST(DATE '{CUT}' AS TIMESTAMP) AS created_at, CAST(DATE '{CUT}' AS TIMESTAMP) AS updated_at
+    FROM hist""")
+def scd2_stamped(spark, sf):
+    """Technical timestamps of the run beside the periods."""
+    return h.stamp(daily_history(spark, sf), dt.datetime.fromisoformat(CUT))
+
+
 @query("scd2_as_of", f"""
     WITH {DAILY_SQL} SELECT user_id, status FROM hist
     WHERE DATE '{CUT}' >= valid_from AND (valid_to IS NULL OR DATE '{CUT}' < valid_to)""")

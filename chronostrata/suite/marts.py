@@ -230,8 +230,8 @@ def normalise_city(spark, sf):
     return dims.normalise_attribute(city_customers(spark, sf), "city", "city_id")[1].select("customer_sk", "city_id")
 
 
-def purchases(spark, sf):
-    events = table(spark, sf, "events").where("event_type = 'purchase'")
+def moments(spark, sf):
+    events = table(spark, sf, "events")
     return events.select("event_id", "user_id", "ts", F.col("value").cast("decimal(18,2)").alias("amount"))
 
 
@@ -239,7 +239,7 @@ PIT_SQL = f"""
     WITH {TS_SQL}
     SELECT e.event_id, e.user_id, e.ts, CAST(e.value AS DECIMAL(18,2)) AS amount, x.status, x.valid_from
     FROM events e JOIN hist x ON x.user_id = e.user_id AND e.ts >= x.valid_from
-      AND (x.valid_to IS NULL OR e.ts < x.valid_to) WHERE e.event_type = 'purchase'"""
+      AND (x.valid_to IS NULL OR e.ts < x.valid_to)"""
 
 
 def _picked(joined):
@@ -248,12 +248,36 @@ def _picked(joined):
 
 @query("pit_join_facts", PIT_SQL)
 def pit_join_facts(spark, sf):
-    return _picked(join_as_of(purchases(spark, sf), cut(ts_history(spark, sf)), "user_id", "ts"))
+    return _picked(join_as_of(moments(spark, sf), cut(ts_history(spark, sf)), "user_id", "ts"))
 
 
 @query("pit_join_long_history", PIT_SQL)
 def pit_join_long_history(spark, sf):
-    return _picked(join_as_of_long(purchases(spark, sf), cut(ts_history(spark, sf)), "user_id", "ts"))
+    return _picked(join_as_of_long(moments(spark, sf), cut(ts_history(spark, sf)), "user_id", "ts"))
+
+
+@query("pit_join_short_history", PIT_SQL)
+def pit_join_short_history(spark, sf):
+    """The form for short histories, whatever their length here."""
+    return _picked(join_as_of(moments(spark, sf), cut(ts_history(spark, sf)), "user_id", "ts", max_versions=10**9))
+
+
+@query("pit_join_tied_events", """
+    WITH days AS (
+      SELECT user_id, event_type AS status, date_trunc('day', ts) AS day_at, event_id,
+             row_number() OVER (PARTITION BY user_id, date_trunc('day', ts) ORDER BY event_id DESC) AS rn FROM events),
+    told AS (SELECT *, lag(status) OVER (PARTITION BY user_id ORDER BY day_at) AS prior FROM days WHERE rn = 1),
+    hist AS (SELECT user_id, status, CAST(day_at AS TIMESTAMP) AS valid_from,
+                    CAST(lead(day_at) OVER (PARTITION BY user_id ORDER BY day_at) AS TIMESTAMP) AS valid_to
+             FROM told WHERE prior IS DISTINCT FROM status)
+    SELECT e.event_id, e.user_id, e.ts, CAST(e.value AS DECIMAL(18,2)) AS amount, x.status, x.valid_from
+    FROM events e JOIN hist x ON x.user_id = e.user_id AND e.ts >= x.valid_from AND (x.valid_to IS NULL OR e.ts < x.valid_to)""")
+def pit_join_tied_events(spark, sf):
+    """All events of a day share one time, so most of them tie."""
+    day = F.date_trunc("day", "ts").cast("timestamp_ntz")
+    log = table(spark, sf, "events").select("user_id", F.col("event_type").alias("status"), day.alias("ts"), "event_id")
+    history = scd2_backfill(log, "user_id", ["status"], "ts", ["event_id"], grain="ts")
+    return _picked(join_as_of(moments(spark, sf), cut(history), "user_id", "ts"))
 
 
 PRICE_SQL = """
@@ -309,6 +333,15 @@ def price_as_of(spark, sf):
     return joined.select("order_id", "l_linenumber", "product_id", "order_date", "price")
 
 
+@query("price_as_of_touching", f"""
+    WITH {PRICE_SQL} SELECT l_orderkey AS order_id, l_linenumber, l_partkey AS product_id, order_date, price FROM priced""")
+def price_as_of_touching(spark, sf):
+    """Periods that share their border day: the later price holds on it, as where they do not touch."""
+    touching = prices(spark, sf).withColumn("valid_to", F.date_add("valid_to", 1))
+    joined = join_as_of(dated_lines(spark, sf), touching, "product_id", "order_date", closed=True)
+    return joined.select("order_id", "l_linenumber", "product_id", "order_date", "price")
+
+
 @query("price_differences", f"""
     WITH {PRICE_SQL} SELECT l_partkey AS product_id, count(*) AS lines_cnt FROM priced
     WHERE price <> price_at_sale GROUP BY l_partkey""")

@@ -67,7 +67,7 @@ SAT_SQL = """
       SELECT md5(CAST(user_id AS VARCHAR)) AS hk_user, md5(lower(trim(event_type))) AS hashdiff, event_type AS status,
              ts AS load_dttm, event_id,
              lag(md5(lower(trim(event_type)))) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prior_hash
-      FROM events),
+      FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn FROM events) e WHERE rn = 1),
     sat AS (SELECT hk_user, hashdiff, status, 'events' AS record_source, load_dttm FROM told
             WHERE prior_hash IS DISTINCT FROM hashdiff)"""
 
@@ -98,6 +98,31 @@ def sat_user(spark, sf):
     return first.unionByName(second)
 
 
+@query("sat_late", f"""
+    WITH src AS (
+      SELECT *, ts < TIMESTAMP '{CUT}' AS late, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn FROM events),
+    told AS (
+      SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts) AS prior FROM src WHERE NOT late AND rn = 1),
+    newest AS (SELECT user_id FROM told WHERE prior IS DISTINCT FROM event_type GROUP BY user_id)
+    SELECT md5(CAST(user_id AS VARCHAR)) AS hk_user, event_id, event_type AS status, ts AS load_dttm
+    FROM src WHERE late AND user_id IN (SELECT user_id FROM newest)""")
+def sat_late(spark, sf):
+    """The later half is loaded first: the earlier half comes back as late, and is not lost."""
+    src, at = user_source(spark, sf), F.lit(CUT).cast("timestamp_ntz")
+    stored = cut(v.sat_load(None, src.where(F.col("load_dttm") >= at), "hk_user", ["status"], ["event_id"]))
+    late = v.sat_late(stored, src.where(F.col("load_dttm") < at), "hk_user", ["status"])
+    return late.select("hk_user", "event_id", "status", "load_dttm")
+
+
+@query("link_rejects", """
+    SELECT o_orderkey AS order_bk FROM orders WHERE o_orderpriority = '1-URGENT'""")
+def link_rejects(spark, sf):
+    """Orders whose customer is blanked out make no link."""
+    blank = F.when(F.col("segment") != "1-URGENT", F.col("customer_bk"))
+    src = order_source(spark, sf).withColumn("customer_bk", blank)
+    return v.link_rejects(src, {"hk_order": "order_bk", "hk_customer": "customer_bk"}).select("order_bk")
+
+
 @query("effectivity_sat", f"""
     WITH {SAT_SQL} SELECT hk_user, status, load_dttm AS valid_from,
       lead(load_dttm) OVER (PARTITION BY hk_user ORDER BY load_dttm) AS valid_to FROM sat""")
@@ -174,10 +199,10 @@ def pit_daily(spark, sf):
     SELECT e.event_id, i.status, b.band FROM events e
     JOIN pit p ON p.user_id = e.user_id AND p.as_of_date = CAST(e.ts AS DATE)
     JOIN info i ON i.user_id = p.user_id AND i.ts = p.info_load_dttm
-    JOIN bands b ON b.user_id = p.user_id AND b.ts = p.band_load_dttm WHERE e.event_type = 'purchase'""")
+    JOIN bands b ON b.user_id = p.user_id AND b.ts = p.band_load_dttm""")
 def pit_read(spark, sf):
     pit, sats = user_pit(spark, sf)
-    facts = user_source(spark, sf).where("status = 'purchase'").select(
+    facts = user_source(spark, sf).select(
         "hk_user", "event_id", as_date(F.col("load_dttm")).alias("sale_date")
     )
     wanted = {"info": (sats["info"], ["status"]), "band": (sats["band"], ["band"])}

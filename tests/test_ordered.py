@@ -106,3 +106,23 @@ def test_keys_are_consecutive_in_order(spark, log):
     got = [r.n for r in numbered.orderBy("sk").collect()]
     assert [r.sk for r in numbered.orderBy("sk").collect()] == list(range(11, 911))
     assert got == [r.n for r in log.orderBy("k", "ts", "n").collect()]
+
+
+@pytest.mark.parametrize("closed", [False, True])
+def test_as_of_join_has_one_result_at_any_length(spark, closed):
+    """Empty, touching and overlapping periods, tied starts: both forms give the same rows."""
+    periods = [
+        ("a", 1, 5, "x"), ("a", 5, 5, "empty"), ("a", 5, 9, "y"), ("a", 9, None, "z"),
+        ("b", 1, 10, "wide"), ("b", 3, 5, "inner"), ("b", 12, 12, "point"),
+        ("c", 2, 6, "one"), ("c", 2, 6, "two"), ("c", 6, 2, "backwards"),
+    ]
+    history = spark.createDataFrame(periods, "k string, valid_from int, valid_to int, v string")
+    facts = spark.createDataFrame([(k, t) for k in "abcd" for t in range(14)], "k string, at int")
+    found = [
+        sorted(map(tuple, join_as_of(facts, history, "k", "at", closed=closed, max_versions=n).select("k", "at", "v").collect()))
+        for n in (1, 10**9)
+    ]
+    assert found[0] == found[1]
+    assert len({f[:2] for f in found[0]}) == len(found[0])
+    assert closed or ("a", 5, "y") in found[0]
+    assert ("a", 13, "z") in found[0]
