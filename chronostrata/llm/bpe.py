@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from chronostrata.llm.spans import pieces
+from chronostrata.llm.spans import numbered, pieces
 
 LONG_WORD = 256
 MAX_WORDS = 1_000_000
@@ -246,7 +246,7 @@ def encode(
                 columns.append(pa.array([hashlib.sha256(t[1]).hexdigest() for t in told]))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.selectExpr(*[f"`{c}`" for c in keep], f"`{text}` AS _text").mapInArrow(run, schema)
+    return numbered(docs, [*keep, text]).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -262,4 +262,4 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: str
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
 
-    return rows.selectExpr(*[f"`{c}`" for c in keep], f"`{ids}` AS _ids").mapInArrow(run, schema)
+    return numbered(rows, [*keep, ids]).mapInArrow(run, schema)

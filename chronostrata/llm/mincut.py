@@ -12,7 +12,7 @@ outweighs, and so do class, id and role names that say so.
 
 A page is read in one pass over its tags, and costs time in proportion to its length; flows run over the
 blocks of one page only. Defined results: a null or empty page has an empty text; a page without tags is
-one block. Unclosed elements end with their parent. Columns of the input are kept; `text` and `n_chars`
+all text. Unclosed elements end with their parent. Columns of the input are kept; `text` and `n_chars`
 replace columns of these names.
 """
 
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from chronostrata.llm.spans import pieces
+from chronostrata.llm.spans import numbered, pieces
 
 # Contents of these are no text at all.
 OPAQUE = frozenset("script style noscript template svg math iframe object head title select option textarea button canvas audio video datalist".split())
@@ -280,6 +280,8 @@ def main_text(html: str | None) -> str:
     found = blocks(html or "")
     if not found:
         return ""
+    if "<" not in html:
+        return found[0].text
     has_main = any(b.main and not b.bad for b in found)
     content = min_cut([capacities(b, has_main) for b in found], edges_of(found))
     return " ".join(b.text for b, keep in zip(found, content, strict=True) if keep)
@@ -297,4 +299,4 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
             columns += [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return pages.selectExpr(*[f"`{f.name}`" for f in keep], f"`{html}` AS _html").mapInArrow(run, schema)
+    return numbered(pages, [*[f.name for f in keep], html]).mapInArrow(run, schema)

@@ -6,11 +6,13 @@ of any span comes from two prefix sums. Work goes in blocks of about a megabyte,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BLOCK = 1 << 20
 _RNG = np.random.default_rng(20240115)
@@ -103,6 +105,11 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+def numbered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns under names that cannot clash; functions on batches go by their places."""
+    return df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: int, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts have some megabytes; one longer text makes a piece alone."""
     for batch in batches:

@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import types as T
 
-sys.path.insert(0, str(Path(__file__).parent))
+sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).resolve().parents[2] / "tools")]
 
 from conftest_rows import ROWS  # noqa: E402
 
