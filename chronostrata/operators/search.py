@@ -31,8 +31,10 @@ def vector_top_k(
 
     Queries travel to the tasks in blocks of at most `block`, one pass over the vectors per
     block, so what a task holds does not grow with their number. A task scores its vectors with
-    one matrix product per Arrow batch and sends on at most `k` per query and batch.
+    one matrix product per Arrow batch and sends on at most `k` per query and batch. Rows without a vector
+    are neither asked for nor found.
     """
+    queries, vectors = (df.where(F.col(embedding).isNotNull()) for df in (queries, vectors))
     # Tasks name a query by its number in the block; the block's ids travel with the plan.
     vec_type = vectors.schema[vec_id].dataType
     schema = T.StructType(

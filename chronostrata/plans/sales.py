@@ -122,9 +122,8 @@ def _monthly(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def _days(dates: DataFrame, *cols: str) -> DataFrame:
-    """The calendar has one row per day; all days a date can hold are some 3.7 million rows of a
-    few bytes, so it may always be broadcast."""
-    return F.broadcast(dates.select("date_key", *cols))
+    """The calendar, narrow enough for Spark to broadcast it where its size allows."""
+    return dates.select("date_key", *cols)
 
 
 def _revenue(wide: DataFrame, attr: str) -> DataFrame:
