@@ -155,11 +155,14 @@ def fences(sketch: DataFrame) -> DataFrame:
 
 def _verdict(counted: DataFrame, bounds: DataFrame, lang: str, source: str) -> DataFrame:
     on = counted[lang].eqNullSafe(bounds["_lang"]) & counted[source].eqNullSafe(bounds["_source"])
-    kept = ~F.col("base_failed")
+    kept = F.lit(True)
     for metric, (*_, low) in METRICS.items():
         kept &= F.coalesce(_ratio(metric) <= F.col(f"_{metric}_high"), F.lit(True))
         if low:
             kept &= F.coalesce(_ratio(metric) >= F.col(f"_{metric}_low"), F.lit(True))
+    # One expression, no conjunction: a part that needs the counts only would be pushed below the
+    # join and compute them a second time.
+    kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(kept)
     return counted.join(bounds, on, "left").withColumn("kept", kept).drop(*bounds.columns)
 
 
@@ -187,10 +190,10 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
 
 
 def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows that are kept, as they were. The fences are written to the shared folder; the
+    """The rows that are kept, as they were. Counts and fences are written to the shared folder; the
     counts are computed again beside the text, so that no text is written or shuffled for it."""
     packed = _packed(docs, text, lang, source)
     bare = with_counts(packed.drop("_row"), "_text").drop("_text")
-    bounds = cut(fences(sketches(bare, "_lang0", "_source0")))
+    bounds = cut(fences(sketches(cut(bare), "_lang0", "_source0")))
     counted = with_counts(packed, "_text").drop("_text")
     return _verdict(counted, bounds, "_lang0", "_source0").where("kept").select("_row.*")
