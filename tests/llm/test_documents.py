@@ -168,6 +168,45 @@ def test_chain_prefers_the_collinear_matches():
     assert best == list(zip(range(0, 100, 10), range(200, 300, 10), strict=True))
 
 
+def test_chains_take_the_best_predecessor_within_reach():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    reach = chaining.MAX_GAP + chaining.SEED
+    for _ in range(200):
+        found = sorted({(rng.randrange(300), rng.randrange(300)) for _ in range(rng.randrange(1, 120))}, key=lambda m: (m[0], -m[1]))
+        score = []
+        for j, (p, q) in enumerate(found):
+            gains = [score[i] - chaining.GAP_COST * (p - a + q - b) for i, (a, b) in enumerate(found[:j]) if 0 < p - a <= reach and 0 < q - b <= reach]
+            score.append(chaining.SEED_POINTS + max([0, *gains]))
+        told = chaining.chains(*(np.array(x) for x in zip(*found, strict=True)))
+        cost = chaining.GAP_COST
+        best = sum(chaining.SEED_POINTS for _ in told[0]) - cost * sum(c - a + d - b for (a, b), (c, d) in zip(told[0][:-1], told[0][1:], strict=True))
+        assert best == pytest.approx(max(score))
+        assert sorted(m for c in told for m in c) == sorted(found)
+        assert all(0 < c[0] - a[0] <= reach and 0 < c[1] - a[1] <= reach for t in told for a, c in zip(t[:-1], t[1:], strict=True))
+
+
+def own_words(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def test_second_passage_and_inserted_paragraph(spark):
+    a, b, long1, long2 = (own_words(x, n) for x, n in (("a", 60), ("b", 60), ("l", 500), ("m", 500)))
+    rows = [
+        (1, [*a, *own_words("gap1x", 100), *b]),
+        (2, [*own_words("top", 7), *a, *own_words("gap2x", 100), *b, *own_words("end", 9)]),
+        (3, [*long1, *long2]),
+        (4, [*long1, *own_words("new", 100), *long2]),
+    ]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    told = chaining.repeated_passages(docs).collect()
+    spans = sorted((r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["other_start"], r["other_end"]) for r in told)
+    assert spans == [(2, 1, 7, 67, 0, 60), (2, 1, 167, 227, 160, 220), (4, 3, 0, 500, 0, 500), (4, 3, 600, 1100, 500, 1000)]
+
+
 def test_passages_on_odd_rows(messy):
     found = {(r["doc_id"], r["other_id"]) for r in chaining.repeated_passages(messy).collect()}
     assert found == {(2, 1), (8, 1)}
