@@ -207,6 +207,31 @@ def test_second_passage_and_inserted_paragraph(spark):
     assert spans == [(2, 1, 7, 67, 0, 60), (2, 1, 167, 227, 160, 220), (4, 3, 0, 500, 0, 500), (4, 3, 600, 1100, 500, 1000)]
 
 
+def test_passage_whose_seeds_have_other_holders(spark):
+    shared = own_words("p", 60)
+    chance = [" ".join(shared[i : i + chaining.SEED]) for i in range(60 - chaining.SEED + 1)]
+    rows = [(i, t) for i, t in enumerate(chance)] + [(101 + i, t + " etc") for i, t in enumerate(chance)]
+    rows += [(100, " ".join([*own_words("x", 30), *shared, *own_words("y", 20)])), (200, " ".join([*shared, *own_words("z", 40)]))]
+    told = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["other_start"]) for r in told}
+    assert found == {(200, 100, 0, 60, 30)}
+
+
+def test_single_seed_with_an_alignment_is_kept():
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        a = rng.integers(0, 1 << 62, 40).astype(np.uint64)
+        b = np.where(rng.random(40) < rng.random(), a, rng.integers(0, 1 << 62, 40).astype(np.uint64))
+        p = int(rng.integers(0, 40 - chaining.SEED + 1))
+        b[p : p + chaining.SEED] = a[p : p + chaining.SEED]
+        a, b = a[: p + chaining.SEED + int(rng.integers(0, 30))], b[: p + chaining.SEED + int(rng.integers(0, 30))]
+        s, e, *_ = chaining.align(a, b, [(p, p)])
+        at = np.array([p])
+        assert e - s < chaining.MIN_PART or chaining.may_align(chaining._around(a, at), chaining._around(b, at))[0]
+
+
 def test_passages_on_odd_rows(messy):
     found = {(r["doc_id"], r["other_id"]) for r in chaining.repeated_passages(messy).collect()}
     assert found == {(2, 1), (8, 1)}
