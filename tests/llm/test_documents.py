@@ -232,6 +232,19 @@ def test_single_seed_with_an_alignment_is_kept():
         assert e - s < chaining.MIN_PART or chaining.may_align(chaining._around(a, at), chaining._around(b, at))[0]
 
 
+def test_fuzzy_passages_with_many_edits(spark):
+    rows, want = [], set()
+    for n, every in enumerate([6, 7, 8, 9, 10, 11, 12] * 12):
+        passage = own_words(f"p{n}x", 66)
+        edited = [f"e{w}" if i % every == every - 1 else w for i, w in enumerate(passage)]
+        rows.append((n, " ".join([*own_words(f"a{n}x", 20), *passage, *own_words(f"b{n}x", 20)])))
+        rows.append((1000 + n, " ".join([*own_words(f"c{n}x", 30), *edited, *own_words(f"d{n}x", 10)])))
+        want.add((1000 + n, n))
+    told = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["other_id"]) for r in told}
+    assert found <= want and len(found) >= 0.97 * len(want)
+
+
 def test_passages_on_odd_rows(messy):
     found = {(r["doc_id"], r["other_id"]) for r in chaining.repeated_passages(messy).collect()}
     assert found == {(2, 1), (8, 1)}
