@@ -6,7 +6,9 @@ neighbours on the page, and between blocks and the next block under the same par
 what it takes to part them. The minimum cut, found as a maximum flow, labels all blocks at once: a
 short line between paragraphs stays with them, a menu stays together.
 
-The scores are fixed numbers stated below; nothing is trained. Elements that never hold article text
+The scores are fixed numbers stated below; nothing is trained. An `article` or `main` element is worth a
+bonus to its blocks, and a malus to blocks outside, that grow with its share of the page's text without
+links: the one that holds the text counts in full, teaser cards hardly. Elements that never hold article text
 (scripts, styles, forms, menus, footers, asides) cut their blocks off with a capacity no smoothing
 outweighs, and so do class, id and role names that say so.
 
@@ -19,7 +21,7 @@ replace columns of these names.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -53,6 +55,8 @@ BAD_NAMES = frozenset(
 HEADER_NAMES = frozenset("header masthead".split())
 # Names that tell the state of a layout, not what an element holds.
 STATES = ("has-", "with-", "no-", "is-", "without-")
+# Names that file an article under a subject.
+SUBJECTS = ("tag-", "category-", "format-", "type-", "status-", "topic-")
 GOOD_NAMES = frozenset("article content main story post entry body text prose".split())
 
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -61,12 +65,13 @@ HIDDEN = re.compile(r"\shidden(?:[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*
 NAME_PART = re.compile(r"[a-z]+")
 
 HARD = 1000.0
+MAIN_BONUS, OUTSIDE_MALUS = 2.5, 1.5
 NEXT_EDGE, SIBLING_EDGE, COUSIN_EDGE = 0.8, 0.6, 0.2
 
 
-def _judge(attributes: str, inside: bool) -> int:
+def _judge(attributes: str, inside: bool, article: bool = False) -> int:
     """-1: the names of the element say boilerplate; 1: they say content; 0: neither. `inside` the main
-    element a header is the article's own."""
+    element a header is the article's own. An `article` is named by the first part of a name."""
     if not attributes:
         return 0
     if HIDDEN.search(attributes):
@@ -75,9 +80,9 @@ def _judge(attributes: str, inside: bool) -> int:
     for found in NAMES.finditer(attributes):
         value = re.sub(r"([a-z])([A-Z])", r"\1-\2", found[1] or found[2] or found[3] or "").lower()
         for name in value.split():
-            if name.startswith(STATES):
+            if name.startswith(STATES) or article and name.startswith(SUBJECTS):
                 continue
-            parts = NAME_PART.findall(name)
+            parts = NAME_PART.findall(name)[: 1 if article else None]
             if any(p in BAD_NAMES or p in HEADER_NAMES and not inside for p in parts):
                 return -1
             good = good or any(p in GOOD_NAMES for p in parts)
@@ -87,7 +92,7 @@ def _judge(attributes: str, inside: bool) -> int:
 class Block:
     __slots__ = ("bad", "good", "grand", "heading", "linked", "main", "parent", "text")
 
-    def __init__(self, text: str, linked: int, bad: bool, main: bool, good: bool, heading: bool, parent: int, grand: int):
+    def __init__(self, text: str, linked: int, bad: bool, main: tuple[int, ...], good: bool, heading: bool, parent: int, grand: int):
         self.good = good
         self.text, self.linked, self.bad, self.main = text, linked, bad, main
         self.heading, self.parent, self.grand = heading, parent, grand
@@ -96,8 +101,8 @@ class Block:
 def blocks(html: str) -> list[Block]:
     """Text blocks of a page, in order."""
     out: list[Block] = []
-    # Of each open element: name, number, boilerplate, inside main, inside opaque, named as content.
-    stack: list[tuple[str, int, bool, bool, bool, bool]] = [("", 0, False, False, False, False)]
+    # Of each open element: name, number, boilerplate, main elements it is in, inside opaque, named as content.
+    stack: list[tuple[str, int, bool, tuple[int, ...], bool, bool]] = [("", 0, False, (), False, False)]
     number, held, linked, links, heading = 0, [], 0, 0, False
     place = stack[0]
     at, end = 0, len(html)
@@ -171,9 +176,10 @@ def blocks(html: str) -> list[Block]:
             continue
         number += 1
         _, _, bad, main, opaque, good = stack[-1]
-        main = main or name in MAIN
-        judged = _judge(attributes, main)
-        bad = bad or name in BOILERPLATE or judged < 0 and name not in ("html", "body", "article", "main")
+        if name in MAIN:
+            main = (*main[-7:], number)
+        judged = _judge(attributes, bool(main), name == "article")
+        bad = bad or name in BOILERPLATE or judged < 0 and name not in ("html", "body", "main")
         # The page's own header is boilerplate, an article's holds its headline.
         bad = bad or name == "header" and not main
         stack.append((name, number, bad, main, opaque or name in OPAQUE, good or judged > 0))
@@ -190,16 +196,28 @@ def _holder(stack: list) -> tuple:
     return next(s for s in reversed(stack) if s[0] not in INLINE)
 
 
-def capacities(block: Block, has_main: bool) -> tuple[float, float]:
+def main_shares(found: list[Block]) -> dict[int, float]:
+    """How much of the page's text without links each main element holds."""
+    held: Counter[int] = Counter()
+    for b in found:
+        if not b.bad:
+            held.update(dict.fromkeys((0, *b.main), len(b.text) - b.linked))
+    return {n: held[n] / max(1, held[0]) for n in held if n}
+
+
+def capacities(block: Block, shares: dict[int, float]) -> tuple[float, float]:
     """Cost of calling the block boilerplate, and of calling it content."""
     if block.bad:
         return 0.0, HARD
-    if has_main:
-        return (HARD, 0.0) if block.main else (0.0, HARD)
     size, share = len(block.text), block.linked / max(1, len(block.text))
     stops = sum(block.text.count(c) for c in ".!?,;:")
     content = 0.3 + min(size, 200) / 80 + min(stops, 6) * 0.25 + (0.6 if block.heading else 0.0) + (1.5 if block.good else 0.0)
     boiler = 0.9 + 4.0 * share + (0.6 if size < 25 and not block.heading and not stops else 0.0)
+    # An element with half of the text counts in full.
+    if block.main:
+        content += MAIN_BONUS * min(1.0, 2 * shares[block.main[-1]])
+    else:
+        boiler += OUTSIDE_MALUS * min(1.0, 2 * max(shares.values(), default=0.0))
     return content * (1 - share), boiler
 
 
@@ -282,8 +300,8 @@ def main_text(html: str | None) -> str:
         return ""
     if "<" not in html:
         return found[0].text
-    has_main = any(b.main and not b.bad for b in found)
-    content = min_cut([capacities(b, has_main) for b in found], edges_of(found))
+    shares = main_shares(found)
+    content = min_cut([capacities(b, shares) for b in found], edges_of(found))
     return " ".join(b.text for b, keep in zip(found, content, strict=True) if keep)
 
 

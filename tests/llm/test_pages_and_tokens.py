@@ -39,6 +39,29 @@ def test_page_without_article_element():
     assert text.startswith("Title This is") and "Short." in text and "Item" not in text
 
 
+SENTENCE = "This is a full sentence of the text, with a comma. And it goes on for a while, as texts do."
+
+
+def test_teaser_articles_do_not_displace_the_text():
+    cards = "".join(f'<article><h3><a href="/{i}">Other story {i}</a></h3><p><a href="/{i}">Read on</a></p></article>' for i in range(4))
+    page = f"<body><div class=content><h1>Title</h1>{f'<p>{SENTENCE}</p>' * 5}</div><div>{cards}</div></body>"
+    assert mincut.main_text(page) == " ".join(["Title", *[SENTENCE] * 5])
+
+
+def test_comment_articles_are_no_text():
+    comments = f'<article class="comment"><p>{SENTENCE} I think.</p></article>' * 3
+    page = f'<body><article class="post tag-social"><h1>Title</h1>{f"<p>{SENTENCE}</p>" * 3}</article>{comments}</body>'
+    assert mincut.main_text(page) == " ".join(["Title", *[SENTENCE] * 3])
+
+
+def test_unnamed_clutter_inside_the_article():
+    links = "".join(f'<li><a href="/{i}">Item {i}</a></li>' for i in range(8))
+    clutter = f'<div><a href="/buy">Buy these shoes today</a></div><div><ul>{links}</ul></div>'
+    text = f"<p>{SENTENCE}</p>"
+    page = f"<body><article><h1>Title</h1>{text * 2}<p>Short.</p>{clutter}{text * 2}</article></body>"
+    assert mincut.main_text(page) == " ".join(["Title", *[SENTENCE] * 2, "Short.", *[SENTENCE] * 2])
+
+
 def brute_cut(costs, edges):
     n = len(costs)
 
