@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronostrata.llm.native import slice_bits, with_running
@@ -74,7 +74,7 @@ def _ordered(slim: DataFrame) -> DataFrame:
 
 @dataclass
 class MerkleTree:
-    """Levels from the leaves to the roots: (archive, place, hash, start, end), leaves also `key`."""
+    """Levels from the leaves to the roots: (archive, place, hash, start, end), leaves also `key` and `digest`."""
 
     levels: list[DataFrame]
 
@@ -107,7 +107,7 @@ def merkle_tree(slim: DataFrame, fanout: int = FANOUT) -> MerkleTree:
     level = cut(
         _ordered(slim).select(
             "archive", F.col("ordinal").alias("place"), leaf.alias("hash"), F.col("offset").alias("start"),
-            (F.col("offset") + F.col("length")).alias("end"), "key",
+            (F.col("offset") + F.col("length")).alias("end"), "key", "digest",
         )
     )
     levels = [level]
@@ -124,12 +124,22 @@ def _differing(a: DataFrame, b: DataFrame, columns: list[str]) -> DataFrame:
     return both.where(~F.col("a_hash").eqNullSafe(F.col("b_hash")))
 
 
+def _paired(both: DataFrame, *names: str) -> DataFrame:
+    """The n-th record of one side with the n-th of the other, among those equal in `names`: (archive, a, b)."""
+    keys = [F.col(n).alias(f"_{i}") for i, n in enumerate(names)]
+    keyed = both.select("*", *keys)
+    own = [f"_{i}" for i in range(len(names))]
+    nth = keyed.withColumn("_n", F.row_number().over(Window.partitionBy(*own, "side").orderBy("r.place")))
+    sides = [F.max(F.when(F.col("side") == i, F.col("r"))).alias(x) for i, x in enumerate("ab")]
+    return nth.groupBy(*own, "_n").agg(*sides).select(F.col("_0").alias("archive"), "a", "b")
+
+
 def audit(ours: MerkleTree, theirs: MerkleTree, fanout: int = FANOUT) -> DataFrame:
     """Ranges of records that differ between replicas: (archive, place, key, start, end, other_key, other_start,
     other_end, kind). Subtrees with equal hashes are not looked into.
 
-    A record that is added or lost moves all that follow it in the archive; those are reported as `moved`
-    if their length is the same and only their offsets changed."""
+    Records are paired by key, equal digests first, then in order of place. `damaged` ones have other bytes,
+    `moved` ones the same bytes at another offset, as all have that follow a change of length."""
     depth = max(len(ours.levels), len(theirs.levels))
     side = [t.padded(depth, fanout) for t in (ours, theirs)]
     open_: DataFrame | None = None
@@ -144,15 +154,21 @@ def audit(ours: MerkleTree, theirs: MerkleTree, fanout: int = FANOUT) -> DataFra
     a, b = (levels[0] for levels in side)
     if open_ is not None:
         a, b = (x.join(open_, ["archive", "place"], "left_semi") for x in (a, b))
-    told = _differing(a, b, ["hash", "key", "start", "end"])
     kind = (
-        F.when(F.col("b_hash").isNull(), F.lit("missing"))
-        .when(F.col("a_hash").isNull(), F.lit("added"))
-        .when((F.col("a_end") - F.col("a_start") == F.col("b_end") - F.col("b_start")) & (F.col("a_start") != F.col("b_start")), F.lit("moved"))
+        F.when(F.col("b").isNull(), F.lit("missing"))
+        .when(F.col("a").isNull(), F.lit("added"))
+        .when(F.col("a.digest") == F.col("b.digest"), F.lit("moved"))
         .otherwise(F.lit("damaged"))
     )
+    record = F.struct("place", "start", "end", "key", "digest")
+    both = a.select(F.lit(0).alias("side"), "archive", record.alias("r")).unionByName(b.select(F.lit(1).alias("side"), "archive", record.alias("r")))
+    same = cut(_paired(both, "archive", "r.key", "r.digest"))
+    alone = [same.where(f"{x} IS NULL").select(F.lit(i).alias("side"), "archive", F.col(y).alias("r")) for i, (x, y) in enumerate(["ba", "ab"])]
+    rest = _paired(alone[0].unionByName(alone[1]), "archive", "r.key")
+    told = same.where("a.start <> b.start").unionByName(rest)
     return told.select(
-        "archive", "place", F.col("a_key").alias("key"), F.col("a_start").alias("start"), F.col("a_end").alias("end"),
-        F.col("b_key").alias("other_key"), F.col("b_start").alias("other_start"), F.col("b_end").alias("other_end"), kind.alias("kind"),
+        "archive", F.coalesce("a.place", "b.place").alias("place"), F.col("a.key").alias("key"), F.col("a.start").alias("start"),
+        F.col("a.end").alias("end"), F.col("b.key").alias("other_key"), F.col("b.start").alias("other_start"), F.col("b.end").alias("other_end"),
+        kind.alias("kind"),
     )
 

@@ -198,7 +198,10 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixity.merkle_tree(fixity.records(p, archive)) for p in (pages, pages.withColumn("html", changed))
     )
     told = fixity.audit(ours, theirs)
+    # The query's SQL tells kinds by length and offset only; `audit` tells them by digest.
+    moved = (F.col("end") - F.col("start") == F.col("other_end") - F.col("other_start")) & (F.col("start") != F.col("other_start"))
+    kind = F.when(moved, F.lit("moved")).otherwise(F.lit("damaged"))
     return told.select(
         "archive", "place", F.col("key").alias("page_id"), F.col("start").alias("start_byte"),
-        F.col("end").alias("end_byte"), "other_start", "other_end", "kind",
+        F.col("end").alias("end_byte"), "other_start", "other_end", kind.alias("kind"),
     )

@@ -134,6 +134,15 @@ def test_fixity_finds_every_kind_of_damage(spark):
     assert fixity.audit(tree(pages.where("false")), tree(pages.where("false")), fanout=4).count() == 0
 
 
+def test_fixity_after_a_loss_in_the_middle(spark):
+    rows = [(i, f"http://h/{i}", f"<p>page {i:04}</p>") for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    changed = pages.where("page_id <> 100").withColumn("html", F.when(F.col("page_id") == 200, "<p>page 02o0</p>").otherwise(F.col("html")))
+    ours, theirs = (fixity.merkle_tree(fixity.records(p, F.lit("a")), fanout=4) for p in (pages, changed))
+    told = {(r["key"], r["other_key"], r["kind"]) for r in fixity.audit(ours, theirs, fanout=4).collect()}
+    assert told == {(100, None, "missing"), (200, 200, "damaged")} | {(i, i, "moved") for i in range(101, 300) if i != 200}
+
+
 @pytest.mark.parametrize("name", sorted(suite.ORACLES))
 def test_query_equals_its_sql(spark, name):
     sf_dir = "/root/testdata/sf0.001"
