@@ -30,7 +30,7 @@ from collections.abc import Iterator, Sequence
 from math import ceil, log, log2
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -219,23 +219,25 @@ def _dealt(vocabulary: DataFrame, shards: int) -> DataFrame:
     return spread.select(place.cast("int").alias("shard"), "side", "word", "exact", (F.col("block") == F.col("home")).alias("indexed"), "asks")
 
 
-def _near_in_shard(rows: pd.DataFrame) -> pd.DataFrame:
+def _near_in_shard(rows: pa.Table) -> pa.Table:
     # The scheme to the right is the one to the left over reversed words.
-    step = -1 if rows["side"].iloc[0] == 0 else 1
-    words = rows.loc[rows["indexed"], "word"].unique().tolist()
-    asking = rows[rows["asks"]].drop_duplicates("word")
-    asked = asking["word"].tolist()
-    found = near_words([w[::step] for w in words], [w[::step] for w in asked], asking["exact"].tolist()) if words else ()
+    step = -1 if rows["side"][0].as_py() == 0 else 1
+    every, indexed, asks = (rows[c].to_pylist() for c in ("word", "indexed", "asks"))
+    words = sorted({w for w, held in zip(every, indexed, strict=True) if held})
+    asked = {w: e for w, e, own in zip(every, rows["exact"].to_pylist(), asks, strict=True) if own}
+    names = list(asked)
+    found = near_words([w[::step] for w in words], [w[::step] for w in names], list(asked.values())) if words else ()
     pairs = np.concatenate([np.empty((0, 2), dtype=np.int64), *[np.column_stack(f) for f in found]])
     pairs = np.unique(pairs, axis=0)
-    return pd.DataFrame({"word": [asked[i] for i in pairs[:, 0]], "near": [words[i] for i in pairs[:, 1]]})
+    columns = [pa.array([names[i] for i in pairs[:, 0]], pa.string()), pa.array([words[i] for i in pairs[:, 1]], pa.string())]
+    return pa.Table.from_arrays(columns, ["word", "near"])
 
 
 def near_pairs(vocabulary: DataFrame, rows: int) -> DataFrame:
     """(word, near) for all near words of a vocabulary (`word`, distinct) of about `rows` rows, both ways round."""
     shards = max(1, ceil(2 * rows / SHARD_ROWS))
     dealt = _dealt(vocabulary, shards)
-    return dealt.groupBy("shard").applyInPandas(_near_in_shard, "word string, near string").distinct()
+    return dealt.groupBy("shard").applyInArrow(_near_in_shard, "word string, near string").distinct()
 
 
 def _roots(links: DataFrame, most: int) -> DataFrame:

@@ -147,10 +147,11 @@ def brute_counts(rows):
 
 
 def test_word_counts_and_variants_of_odd_rows(spark, messy):
-    rows = [(r["doc_id"], r["text"]) for r in messy.collect()] + [(i, f"Hauptstraße HAUPTSTRASSE hauptstrase{i % 2 * 'e'} ÉTAGE") for i in range(400)]
+    rows = [(r["doc_id"], r["text"]) for r in messy.collect()] + [(i, f"Hauptstraße HAUPTSTRASSE hauptstrase{'e' * (i % 2)} ÉTAGES") for i in range(400)]
     extra = messy.select("doc_id", "text").unionByName(spark.createDataFrame(rows[messy.count() :], "doc_id long, text string"))
     want = brute_counts(rows)
-    assert {r["word"]: r["n"] for r in variants.word_counts(extra).collect()} == want and len(want) > 20
+    assert {r["word"]: r["n"] for r in variants.word_counts(extra).collect()} == want
+    assert {"hauptstraße", "hauptstrasse", "hauptstrase", "hauptstrasee", "Étages"} <= want.keys()
     told = variants.variants(variants.word_counts(messy.unionByName(extra.where("doc_id > 9"), allowMissingColumns=True)))
     assert told.columns == ["word", "form", "root", "n", "n_near", "form_n"]
     assert variants.variants(variants.word_counts(messy.where("false"))).count() == 0
