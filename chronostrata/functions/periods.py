@@ -50,4 +50,5 @@ def is_current(valid_to: Column | str = "valid_to") -> Column:
 
 def in_last_days(d: Column | str, as_of: Column | dt.date | str, days: int) -> Column:
     """From `days` days before `as_of` up to and including it."""
-    return (_col(d) >= F.date_sub(as_date(as_of), days)) & (as_date(_col(d)) <= as_date(as_of))
+    # The column itself is compared, so that both bounds reach the scan.
+    return (_col(d) >= F.date_sub(as_date(as_of), days)) & (_col(d) < F.date_add(as_date(as_of), 1))

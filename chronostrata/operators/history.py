@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chronostrata.functions import as_date, as_moment, differs, hashdiff, is_current
 from chronostrata.operators.joins import anti, new_or_changed, semi
 from chronostrata.operators.latest import last_of_day, latest_by_key
-from chronostrata.operators.ordered import HOT_ROWS, in_order, with_next, with_prev
+from chronostrata.operators.ordered import HOT_ROWS, change_points, in_order, last_of_moment
 
 
 def scd2_backfill(
@@ -32,26 +32,24 @@ def scd2_backfill(
     grain="ts": every change counts; `(ts_col, *tie)` must order the events of a key totally. Of
     events of one moment the last counts, so no period is empty.
     `carry` names columns taken over from the event that opened the period, `previous` those
-    whose value in the period before is added as `previous_<column>`. All windows share one
-    shuffle and one sort.
+    whose value in the period before is added as `previous_<column>`. All windows, the one
+    that settles ties of a moment included, share one shuffle and one sort; a hot key is read twice, whatever is asked.
     """
     if grain not in ("day", "ts"):
         raise ValueError(f"grain must be 'day' or 'ts', not {grain!r}")
     log = events.select(*dict.fromkeys([key, *attrs, *carry, ts_col, *tie]))
-    at, order = F.col(ts_col), (ts_col, *tie)
+    at, order = ts_col, (ts_col, *tie)
     if grain == "day":
         log = last_of_day(log, key, ts_col, tie)
-        at, order, hot_rows = F.col("_day"), ("_day",), None
-    elif tie:
-        log = latest_by_key(log, [key, ts_col], [F.desc(c) for c in tie])
-    rows = in_order(log.withColumn("hashdiff", hashdiff(*attrs)), key, order, hot_rows)
-    changes = with_prev(rows, {"_before": "hashdiff"}).where(differs("hashdiff", "_before"))
-    periods = with_next(changes, {"valid_to": at})
-    if previous:
-        periods = with_prev(periods, {f"previous_{c}": c for c in previous})
-    return periods.plain().select(
-        key, *attrs, "hashdiff", *carry, at.alias("valid_from"), "valid_to", *[f"previous_{c}" for c in previous]
-    )
+        at, order, hot_rows = "_day", ("_day",), None
+    rows = in_order(log.withColumn("hashdiff", hashdiff(*attrs)), key, order, hot_rows, cut_by=1)
+    if grain == "ts" and tie:
+        rows = last_of_moment(rows)
+    periods = change_points(rows, "hashdiff", at, {f"previous_{c}": c for c in previous})
+    return periods.select(
+        key, *attrs, "hashdiff", *carry, F.col(at).alias("valid_from"), F.col("_to").alias("valid_to"),
+        *[f"previous_{c}" for c in previous],
+    )
 
 
 def _state(snapshot: DataFrame, key: str, attrs: Sequence[str], eff_col: str) -> DataFrame:

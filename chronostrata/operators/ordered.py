@@ -53,13 +53,15 @@ def in_order(
     order: str | Sequence[str],
     hot_rows: int | None = HOT_ROWS,
     counted: DataFrame | None = None,
+    cut_by: int | None = None,
 ) -> OrderedRows:
-    """Prepare `df` for `with_prev`, `with_next` and `carry_last`.
+    """Prepare `df` for `with_prev`, `with_next`, `carry_last`, `last_of_moment` and `change_points`.
 
     Runs one count per key over the key columns alone. `hot_rows=None` skips it: right
     where a key has few rows by construction, such as one per day. Where `df` is costly to
     compute, `counted` may be the table it comes from: any rows with these keys, at least as
-    many per key.
+    many per key. `cut_by` names how many of the order columns place the cuts (all of them by default): with
+    one, rows of one moment stay in one chunk.
     """
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
     order = (order,) if isinstance(order, str) else tuple(order)
@@ -83,7 +85,7 @@ def in_order(
     # the chunk numbers fixed, which sampling again after a lost executor would not.
     chunked = cut(
         df.join(marks, same, "left_semi")
-        .repartitionByRange(chunks, *keys, *order)
+        .repartitionByRange(chunks, *keys, *order[:cut_by])
         .withColumn(_CHUNK, F.spark_partition_id() + 1)
     )
     return OrderedRows(cold.unionByName(chunked), keys, order, True)
@@ -153,3 +155,68 @@ def carry_last(rows: OrderedRows, value: str, name: str) -> OrderedRows:
         df = _join_edges(rows, df, ends)
         df = df.withColumn(name, F.coalesce(name, _EDGE)).drop(_EDGE)
     return replace(rows, df=df)
+
+
+def last_of_moment(rows: OrderedRows) -> OrderedRows:
+    """Of the rows of a key that are equal in the first order column, the last one. `rows` must have been
+    prepared with `cut_by=1`. One more value in the window over the key, no shuffle of its own."""
+    after = F.lead(F.struct(rows.order[0])).over(_within(rows))
+    moved_on = F.col("_after").isNull() | ~F.col("_after")[rows.order[0]].eqNullSafe(F.col(rows.order[0]))
+    return replace(rows, df=rows.df.withColumn("_after", after).where(moved_on).drop("_after"))
+
+
+def change_points(rows: OrderedRows, state: str, at: str, previous: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows whose `state` differs from the row before them in their key, with `_to`, the `at` of the next such
+    row, and, for each `{new column: column}` of `previous`, its value in the such row before.
+
+    With hot keys, one table of chunk borders answers all of it: per chunk its first and last state, where it
+    changes first inside, and the values of its last change. What that means across chunks follows from
+    the borders alone, so the rows are read twice (borders, result), not once more for every value.
+    """
+    previous = dict(previous or {})
+    names = list(previous.values())
+    held = F.struct(F.lit(True).alias("_some"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(names)])
+    before = F.lag(F.struct(F.col(state).alias("s"))).over(_within(rows))
+    df = rows.df.withColumn("_before", before)
+    inside = F.col("_before").isNotNull() & ~F.col("_before.s").eqNullSafe(F.col(state))
+    changed = F.col("_before").isNull() | inside
+    if rows.hot:
+        edges = _change_edges(rows, df, state, at, held, inside)
+        df = _join_edges(rows, df, edges)
+        open_start = F.col("_before").isNull() & (F.col("_last").isNull() | ~F.col("_last.s").eqNullSafe(F.col(state)))
+        changed = open_start | inside
+    points = replace(rows, df=df.where(changed).withColumn("_held", held))
+    step = _within(points)
+    df = points.df.withColumns({"_next": F.lead(F.struct(F.col(at).alias("at"))).over(step), "_prev": F.lag("_held").over(step)})
+    to, prior = F.col("_next.at"), F.col("_prev")
+    if rows.hot:
+        to = F.when(F.col("_next").isNotNull(), to).otherwise(F.col("_following.at"))
+        prior = F.coalesce(prior, F.col("_earlier"))
+    values = {n: prior[f"v{i}"] for i, n in enumerate(previous)}
+    return df.select(*rows.df.drop(_CHUNK).columns, to.alias("_to"), *[v.alias(n) for n, v in values.items()])
+
+
+def _change_edges(rows: OrderedRows, df: DataFrame, state: str, at: str, held: Column, inside: Column) -> DataFrame:
+    """One row per (hot key, chunk): `_last`, the state before the chunk; `_following`, where the next change
+    after it is; `_earlier`, the values of the last change before it."""
+    order = F.struct(*rows.order)
+    now, here = F.struct(F.col(state).alias("s")), F.struct(F.col(at).alias("at"))
+    borders = df.where(F.col(_CHUNK) > 0).groupBy(*rows.keys, _CHUNK).agg(
+        F.min_by(now, order).alias("first"), F.max_by(now, order).alias("last"),
+        F.min_by(here, order).alias("first_at"), F.min_by(held, order).alias("first_held"),
+        F.min_by(here, F.when(inside, order)).alias("inner_at"), F.max_by(held, F.when(inside, order)).alias("inner_held"),
+    )
+    over = _over_edges(rows)
+    told = borders.withColumn("_last", F.lag("last").over(over))
+    opens = F.col("_last").isNull() | ~F.col("_last.s").eqNullSafe(F.col("first.s"))
+    told = told.withColumns(
+        {
+            "_change": F.when(opens, F.col("first_at")).otherwise(F.col("inner_at")),
+            "_kept": F.coalesce("inner_held", F.when(opens, F.col("first_held"))),
+        }
+    )
+    ahead, behind = over.rowsBetween(1, Window.unboundedFollowing), over.rowsBetween(Window.unboundedPreceding, -1)
+    return told.select(
+        *rows.keys, _CHUNK, "_last", F.first("_change", ignorenulls=True).over(ahead).alias("_following"),
+        F.last("_kept", ignorenulls=True).over(behind).alias("_earlier"),
+    )

