@@ -96,14 +96,11 @@ def _within(rows: OrderedRows):
     return Window.partitionBy(*by).orderBy(*rows.order)
 
 
-def _chunk_ends(rows: OrderedRows, value: Column, last: bool, condition: Column | None = None) -> DataFrame:
+def _chunk_ends(rows: OrderedRows, value: Column, last: bool) -> DataFrame:
     """One row per (hot key, chunk): `value` of its last or first row. Never more rows than
     chunks plus hot keys, both bounded above."""
     pick = F.max_by if last else F.min_by
-    hot = rows.df.where(F.col(_CHUNK) > 0)
-    if condition is not None:
-        hot = hot.where(condition)
-    return hot.groupBy(*rows.keys, _CHUNK).agg(pick(value, F.struct(*rows.order)).alias(_EDGE))
+    return rows.df.where(F.col(_CHUNK) > 0).groupBy(*rows.keys, _CHUNK).agg(pick(value, F.struct(*rows.order)).alias(_EDGE))
 
 
 def _over_edges(rows: OrderedRows):
@@ -143,17 +140,23 @@ def with_next(rows: OrderedRows, columns: Mapping[str, Column | str]) -> Ordered
 
 def carry_last(rows: OrderedRows, value: str, name: str) -> OrderedRows:
     """Add the last non-NULL `value` at or before each row of the key."""
+    return carry_all(rows, {name: value})
+
+
+def carry_all(rows: OrderedRows, columns: Mapping[str, str]) -> OrderedRows:
+    """Add, for each `{new column: column}`, the last non-NULL value at or before each row of the key: one
+    window and one table of chunk borders for all of them."""
     so_far = _within(rows).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = rows.df.withColumn(name, F.last(value, ignorenulls=True).over(so_far))
+    df = rows.df.withColumns({n: F.last(c, ignorenulls=True).over(so_far) for n, c in columns.items()})
     if rows.hot:
-        present = _chunk_ends(rows, F.col(value), last=True, condition=F.col(value).isNotNull())
-        every = rows.df.where(F.col(_CHUNK) > 0).groupBy(*rows.keys, _CHUNK).agg(F.lit(None).alias("_none"))
-        names = [*rows.keys, _CHUNK]
-        ends = every.drop("_none").join(present, names, "left")
+        order = F.struct(*rows.order)
+        ends = rows.df.where(F.col(_CHUNK) > 0).groupBy(*rows.keys, _CHUNK).agg(
+            *[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"{_EDGE}{i}") for i, c in enumerate(columns.values())]
+        )
         before = _over_edges(rows).rowsBetween(Window.unboundedPreceding, -1)
-        ends = ends.withColumn(_EDGE, F.last(_EDGE, ignorenulls=True).over(before))
-        df = _join_edges(rows, df, ends)
-        df = df.withColumn(name, F.coalesce(name, _EDGE)).drop(_EDGE)
+        earlier = {f"{_EDGE}{i}": F.last(f"{_EDGE}{i}", ignorenulls=True).over(before) for i in range(len(columns))}
+        df = _join_edges(rows, df, ends.withColumns(earlier))
+        df = df.withColumns({n: F.coalesce(n, f"{_EDGE}{i}") for i, n in enumerate(columns)}).drop(*earlier)
     return replace(rows, df=df)
 
 

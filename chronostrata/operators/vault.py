@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from chronostrata.fixed_values import ACTIVE_DAYS, RECENT_SPEND_DAYS
 from chronostrata.functions import as_date, differs, hash_key, hashdiff, in_last_days
 from chronostrata.operators.joins import anti, expand_days, semi
-from chronostrata.operators.latest import last_of_day, latest_by_key
-from chronostrata.operators.ordered import HOT_ROWS, in_order, last_of_moment, with_next, with_prev
+from chronostrata.operators.latest import latest_by_key
+from chronostrata.operators.ordered import HOT_ROWS, carry_all, carry_last, in_order, last_of_moment, with_next, with_prev
 
 SOURCE = "record_source"
 LOADED = "load_dttm"
@@ -64,8 +64,7 @@ def _complete(parts: Mapping[str, str]) -> Column:
 def sat_late(sat: DataFrame, src: DataFrame, hk: str, attrs: Sequence[str]) -> DataFrame:
     """Rows of `src` that `sat_load` leaves out because a later version is stored, but that are no replay:
     no stored version of their load time has their attributes. For a repair or a reject table."""
-    newest = sat.groupBy(hk).agg(F.max(LOADED).alias("_since"))
-    late = src.join(newest, hk).where(F.col(LOADED) <= F.col("_since")).drop("_since")
+    late = behind(sat, src, hk)
     known = effectivity(sat, hk).select(
         F.col(hk).alias("_key"), F.col("hashdiff").alias("_stored"), F.col("valid_from").alias("_from"), F.col("valid_to").alias("_to")
     )
@@ -106,6 +105,89 @@ def sat_load(
     return changed.select(hk, "hashdiff", *attrs, SOURCE, LOADED)
 
 
+def behind(sat: DataFrame, src: DataFrame, hk: str) -> DataFrame:
+    """Rows of `src` not later than the newest stored version of their key: what a load leaves out, replays included.
+    A repair wants all of them, since a row that only confirmed the stored version ends a late one before it."""
+    newest = sat.groupBy(hk).agg(F.max(LOADED).alias("_since"))
+    return src.join(newest, hk).where(F.col(LOADED) <= F.col("_since")).drop("_since")
+
+
+def sat_repair(
+    sat: DataFrame, late: DataFrame, hk: str, attrs: Sequence[str], hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """Rows to append so that the chain takes in `late` rows (`behind`) at their own load time; `sat_net` reads
+    the result. `is_void` is false for a late version that differs from the one before it, and true for a
+    compensating row: a stored version that now repeats the one before it.
+
+    Only keys with late rows are chained again. What a source said between versions, and repeated, is not stored, so
+    it cannot come back; `scd2_repair` rebuilds from all events where they are kept. At a load time that is
+    stored already the stored version stays.
+    """
+    net = sat_net(sat, hk)
+    keys = late.select(hk).distinct()
+    columns = [hk, "hashdiff", *attrs, SOURCE, LOADED]
+    incoming = late.withColumn("hashdiff", hashdiff(*attrs)).select(*columns).distinct()
+    both = semi(net, keys, [hk]).select(*columns, F.lit(1).alias("_stored")).unionByName(incoming.withColumn("_stored", F.lit(0)))
+    rows = last_of_moment(in_order(both, hk, (LOADED, "_stored", "hashdiff"), hot_rows, cut_by=1))
+    told = with_prev(rows, {"_before": "hashdiff"}).plain()
+    opens = differs("hashdiff", "_before")
+    # A late version is added where it opens one; a stored one is voided where it no longer does.
+    return told.where(opens == (F.col("_stored") == 0)).select(*columns, (F.col("_stored") == 1).alias("is_void"))
+
+
+def sat_net(sat: DataFrame, hk: str) -> DataFrame:
+    """Versions of a repaired satellite that count: those without a compensating row. A satellite that was never
+    repaired has no `is_void` and is returned as it is."""
+    if "is_void" not in sat.columns:
+        return sat
+    voided = sat.where("is_void").select(hk, LOADED)
+    return anti(sat.where("NOT coalesce(is_void, false)"), voided, [hk, LOADED]).drop("is_void")
+
+
+def multi_active_late(sat: DataFrame, src: DataFrame, hk: str, attrs: Sequence[str]) -> DataFrame:
+    """Rows of `src` that `multi_active_load` leaves out: sets not later than the newest stored one, except
+    replays, whose set is the one in force at their time."""
+    late = behind(sat, src, hk)
+    keys = late.select(hk).distinct()
+    known = _sets(semi(sat, keys, [hk]), hk, attrs).withColumn("_late", F.lit(0))
+    asked = _sets(late, hk, attrs).withColumn("_late", F.lit(1))
+    nothing = F.lit(None).cast(known.schema["_set"].dataType)
+    both = known.withColumn("_state", F.col("_set")).unionByName(asked.withColumn("_state", nothing))
+    rows = carry_last(in_order(both, hk, (LOADED, "_late")), "_state", "_valid").plain()
+    first_time = rows.where((F.col("_late") == 1) & differs("_set", "_valid"))
+    return semi(late, first_time, [hk, LOADED])
+
+
+def multi_active_repair(
+    sat: DataFrame, late: DataFrame, hk: str, attrs: Sequence[str], hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
+    """`sat_repair` for sets: whole late sets that differ from the set before them, and compensating rows
+    (`is_void`) for the members of stored sets that now repeat it. `sat_net` reads the result."""
+    net = sat_net(sat, hk)
+    keys = late.select(hk).distinct()
+    members = late.groupBy(hk, LOADED, *attrs).agg(F.min(SOURCE).alias(SOURCE))
+    stored = semi(net, keys, [hk])
+    sets = _sets(stored, hk, attrs).withColumn("_stored", F.lit(1)).unionByName(_sets(members, hk, attrs).withColumn("_stored", F.lit(0)))
+    rows = last_of_moment(in_order(sets, hk, (LOADED, "_stored"), hot_rows, cut_by=1))
+    told = with_prev(rows, {"_before": "_set"}).plain()
+    opens = differs("_set", "_before")
+    added = semi(members, told.where(opens & (F.col("_stored") == 0)), [hk, LOADED]).withColumn("is_void", F.lit(False))
+    gone = semi(stored, told.where(~opens & (F.col("_stored") == 1)), [hk, LOADED]).withColumn("is_void", F.lit(True))
+    columns = [hk, *attrs, SOURCE, LOADED, "is_void"]
+    return added.select(*columns).unionByName(gone.select(*columns))
+
+
+def _sets(members: DataFrame, hk: str, attrs: Sequence[str]) -> DataFrame:
+    """(hk, load_dttm, _set): the size of each set of values and sums of hashes of its members, which add up
+    across map tasks."""
+    digest = hashdiff(*attrs)
+    halves = [F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(38,0)") for at in (1, 17)]
+    once = members.select(hk, LOADED, *attrs).distinct()
+    return once.groupBy(hk, LOADED).agg(
+        F.struct(F.count("*").alias("n"), F.sum(halves[0]).alias("a"), F.sum(halves[1]).alias("b")).alias("_set")
+    )
+
+
 def _is_later() -> Column:
     return F.col("_since").isNull() | (F.col(LOADED) > F.col("_since"))
 
@@ -125,7 +207,8 @@ def multi_active_load(
 ) -> DataFrame:
     """Several values of a key are valid at once. When the set of values of a (key, load_dttm)
     differs from the set before it, the whole set is added. Sets not later than the stored one
-    are replays.
+    are replays, or late: `multi_active_late` returns those and
+    `multi_active_repair` takes them in.
 
     Sets are compared by size and by sums of hashes of their members, which add up across map
     tasks, so no set is ever gathered in one place.
@@ -164,28 +247,27 @@ def pit_daily(
     """For each (key, day) the `load_dttm` of the version of every satellite in force at the end
     of that day; days run from the key's first load. Columns: hk, as_of_date and `<name>_load_dttm`.
 
-    Points to load_dttm, not to the hash: a value that comes back has one hash but two versions.
+    Points to load_dttm, not to the hash: a value that comes back has one hash but two versions. The shuffles move
+    changes, one row per key and day that has one, however many days are asked for.
     """
     pointers = [f"{name}_{LOADED}" for name in sats]
 
-    def with_pointers(days: DataFrame, filled: str | None) -> DataFrame:
+    def points(df: DataFrame, filled: str | None) -> DataFrame:
         empty = F.lit(None).cast("timestamp_ntz")
-        return days.select(
-            hk, "as_of_date", *[(F.col(LOADED) if p == filled else empty).alias(p) for p in pointers]
-        )
+        # What came before the first day asked for counts from that day on; the newest load time is the newest version.
+        day = F.greatest(as_date(F.col(LOADED)), as_date(date_from)).alias("_day")
+        return df.select(hk, day, *[(F.col(LOADED) if p == filled else empty).alias(p) for p in pointers])
 
-    known = hub.select(hk, F.col(LOADED).alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
-    parts = [with_pointers(expand_days(known, date_from, date_to, name="as_of_date"), None)]
+    everything = points(hub, None)
     for name, sat in sats.items():
-        daily = last_of_day(sat.select(hk, LOADED), hk, LOADED)
-        periods = with_next(in_order(daily, hk, "_day", None), {"valid_to": "_day"}).plain()
-        days = expand_days(periods, date_from, date_to, valid_from="_day", name="as_of_date")
-        parts.append(with_pointers(days, f"{name}_{LOADED}"))
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
-    # One shuffle for any number of satellites, instead of one join each.
-    return everything.groupBy(hk, "as_of_date").agg(*[F.max(p).alias(p) for p in pointers])
+        everything = everything.unionByName(points(sat, f"{name}_{LOADED}"))
+    # One row per key and day on which something changes; the last of a day counts.
+    changes = everything.where(F.col("_day") <= as_date(date_to)).groupBy(hk, "_day").agg(*[F.max(p).alias(p) for p in pointers])
+    rows = carry_all(in_order(changes, hk, "_day", None), {f"_{p}": p for p in pointers})
+    periods = with_next(rows, {"valid_to": "_day"}).plain()
+    # Days are made last, from the periods where they are.
+    days = expand_days(periods, date_from, date_to, valid_from="_day", name="as_of_date")
+    return days.select(hk, "as_of_date", *[F.col(f"_{p}").alias(p) for p in pointers])
 
 
 def read_pit(

@@ -5,12 +5,13 @@ was, and a reader never sees half of a refresh."""
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _VERSION = re.compile(r"version=(\d+)$")
+_MARKS = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
@@ -25,19 +26,40 @@ def version_path(path: str, version: int) -> str:
     return f"{path}/version={version}"
 
 
-def write_version(df: DataFrame, path: str, version: int | None = None, partition_by: Sequence[str] = ()) -> int:
+def write_version(
+    df: DataFrame,
+    path: str,
+    version: int | None = None,
+    partition_by: Sequence[str] = (),
+    gate: Callable[[DataFrame], None] | None = None,
+) -> int:
     """Full refresh: write `df`, which may read the table itself, as the next version. With a
-    `version` given (a batch id, say), one that is already finished is left as it is."""
-    done = versions(df.sparkSession, path)
+    `version` given (a batch id, say), one that is already finished is left as it is.
+
+    A `gate` is called with the rows as written before the version counts; if it raises, the table stays at
+    its version before and the next write takes the same number again."""
+    spark = df.sparkSession
+    done = versions(spark, path)
     if version is None:
         version = done[-1] + 1 if done else 0
     if version not in done:
         # A dynamic overwrite would leave no marker.
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*partition_by).parquet(version_path(path, version))
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+        place = version_path(path, version)
+        if gate is None:
+            writer.parquet(place)
+        else:
+            writer.option(_MARKS, "false").parquet(place)
+            gate(spark.read.schema(df.schema).parquet(place))
+            _mark(spark, place)
     return version
 
 
+def _mark(spark: SparkSession, place: str) -> None:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{place}/_SUCCESS")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).create(marker, True).close()
+
+
 def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The newest finished version, or the one asked for."""
     if version is None:

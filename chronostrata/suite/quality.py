@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chronostrata.functions import as_date
 from chronostrata.operators import quality as q
+from chronostrata.operators.constraints import Constraints, as_table, observed, report
 from chronostrata.session import cut
 from chronostrata.suite.base import DAILY_SQL, ORDERS_AS_OF, query, table
 from chronostrata.suite.cleaning import ORDERS_SQL, staged_orders
@@ -116,3 +117,52 @@ def dq_audit(spark, sf):
         F.col("o_orderdate").alias("load_dttm"),
     )
     return q.check_rules(link, "link", q.audit_filled())
+
+
+# Lines with one kind of damage each, told by the order's number.
+PROMISES = Constraints(
+    not_null=("l_partkey", "l_quantity"),
+    max_length={"l_returnflag": 1},
+    rules={"quantity_positive": "l_quantity > 0", "shipped_after_order": "l_shipdate >= o_orderdate"},
+    unique=(("l_orderkey", "l_linenumber"),),
+    unique_where={"one_return_a_part": (("l_partkey", "l_suppkey", "l_orderkey"), "l_returnflag = 'R'")},
+    foreign={"l_partkey": ("part", "p_partkey"), "l_suppkey": ("supplier", "s_suppkey")},
+)
+DAMAGED_SQL = """
+    lines AS (
+      SELECT l_orderkey, l_linenumber,
+             CASE WHEN l_orderkey % 97 = 5 THEN NULL WHEN l_orderkey % 103 = 7 THEN l_partkey + 100000000 ELSE l_partkey END AS l_partkey,
+             l_suppkey, CASE WHEN l_orderkey % 89 = 3 THEN -l_quantity WHEN l_orderkey % 83 = 2 THEN NULL ELSE l_quantity END AS l_quantity,
+             CASE WHEN l_orderkey % 79 = 1 THEN 'RR' ELSE l_returnflag END AS l_returnflag, l_shipdate, o_orderdate
+      FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+    damaged AS (SELECT * FROM lines UNION ALL SELECT * FROM lines WHERE l_orderkey % 101 = 11)"""
+
+
+@query("load_gate_report", f"""
+    WITH {DAMAGED_SQL},
+    told AS (
+      SELECT 1 AS n, 'lines.l_partkey_filled' AS "check", count(*) FILTER (WHERE l_partkey IS NULL) AS actual FROM damaged
+      UNION ALL SELECT 2, 'lines.l_quantity_filled', count(*) FILTER (WHERE l_quantity IS NULL) FROM damaged
+      UNION ALL SELECT 3, 'lines.l_returnflag_max_1', count(*) FILTER (WHERE length(l_returnflag) > 1) FROM damaged
+      UNION ALL SELECT 4, 'lines.quantity_positive', count(*) FILTER (WHERE NOT coalesce(l_quantity > 0, false)) FROM damaged
+      UNION ALL SELECT 5, 'lines.shipped_after_order', count(*) FILTER (WHERE NOT coalesce(l_shipdate >= o_orderdate, false)) FROM damaged
+      UNION ALL SELECT 6, 'lines.unique_l_orderkey_l_linenumber', count(*) FROM (SELECT 1 FROM damaged GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) x
+      UNION ALL SELECT 7, 'lines.one_return_a_part', count(*) FROM (
+        SELECT 1 FROM damaged WHERE l_returnflag = 'R' AND l_partkey IS NOT NULL GROUP BY l_partkey, l_suppkey, l_orderkey HAVING count(*) > 1) x
+      UNION ALL SELECT 8, 'lines.l_partkey_in_part', count(*) FROM damaged WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+      UNION ALL SELECT 9, 'lines.l_suppkey_in_supplier', count(*) FROM damaged WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier))
+    SELECT "check", actual = 0 AS passed, actual, CAST(0 AS BIGINT) AS expected FROM told""")
+def load_gate_report(spark, sf):
+    """Row rules counted by the write, keys and references by one pass over what was written."""
+    dates = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    order, part, quantity = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_quantity")
+    lines = table(spark, sf, "lineitem").join(dates, "l_orderkey").select(
+        "l_orderkey", "l_linenumber", F.when(order % 97 == 5, None).when(order % 103 == 7, part + 100_000_000).otherwise(part).alias("l_partkey"),
+        "l_suppkey", F.when(order % 89 == 3, -quantity).when(order % 83 == 2, None).otherwise(quantity).alias("l_quantity"),
+        F.when(order % 79 == 1, "RR").otherwise(F.col("l_returnflag")).alias("l_returnflag"), "l_shipdate", "o_orderdate",
+    )
+    damaged = lines.unionByName(lines.where(order % 101 == 11))
+    counted, told = observed(damaged, PROMISES)
+    written = cut(counted)
+    parents = {"part": table(spark, sf, "part"), "supplier": table(spark, sf, "supplier")}
+    return as_table(spark, report(told, written, "lines", PROMISES, parents))

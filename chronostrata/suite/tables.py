@@ -111,7 +111,8 @@ def staged_shop(spark, sf):
             F.col("o_custkey").cast("string").alias("customer_id"),
         ),
         "order_items": lines.select(
-            F.col("l_linenumber").cast("string").alias("order_item_id"),
+            # The lines have no key of their own, and the table they go to promises one: whole rows are distinct.
+            F.shiftrightunsigned(F.xxhash64(*lines.columns), 1).cast("string").alias("order_item_id"),
             F.col("l_orderkey").cast("string").alias("order_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_quantity").cast("int").cast("string").alias("qty"),

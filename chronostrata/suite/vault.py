@@ -8,6 +8,8 @@ from chronostrata.fixed_values import ORDER_STATUS_CHAIN
 from chronostrata.functions import as_date, conform_key, hash_key
 from chronostrata.operators import anchor as a
 from chronostrata.operators import vault as v
+from chronostrata.operators.latest import latest_by_key
+from chronostrata.operators.overlay import overlay
 from chronostrata.session import cut
 from chronostrata.suite.base import CUT, ORDERS_AS_OF, query, status_log, table
 
@@ -371,3 +373,150 @@ def anchor_ties(spark, sf):
 def anchor_rebuild(spark, sf):
     keys = a.anchor(status_log(spark, sf), "user_id")
     return a.anchor_as_of(keys, split(spark, sf), "user_id", F.lit(CUT).cast("timestamp_ntz"))
+
+
+# Customers are known to three systems, each with a satellite of its own under one hub. The best source comes first.
+SOURCE_VALIDITY = {"app": 3, "shop": 400, "crm": None}
+SOURCE_ROWS_SQL = """
+    rows_of AS (
+      SELECT 'crm' AS src, c_custkey AS bk, c_mktsegment AS class, CAST(CASE WHEN c_acctbal >= 0 THEN 'credit' END AS VARCHAR) AS standing,
+             TIMESTAMP '1990-01-01' AS tm, 0 AS nth FROM customer
+      UNION ALL SELECT 'shop', o_custkey, o_orderpriority, o_orderstatus, o_orderdate, o_orderkey FROM orders
+      UNION ALL SELECT 'app', user_id, event_type, CAST(NULL AS VARCHAR), ts, event_id FROM events),
+    once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src, bk, tm ORDER BY nth DESC) AS rn FROM rows_of) x WHERE rn = 1),
+    hashed AS (SELECT *, md5(concat_ws('||', lower(trim(coalesce(class, ''))), lower(trim(coalesce(standing, ''))))) AS hashdiff FROM once),
+    told AS (SELECT *, lag(hashdiff) OVER (PARTITION BY src, bk ORDER BY tm) AS prior FROM hashed),
+    sats AS (SELECT src, bk, hashdiff, class, standing, tm FROM told WHERE prior IS DISTINCT FROM hashdiff)"""
+
+
+def customer_sources(spark, sf):
+    """Rows of each system with a business key, two attributes, source and load time."""
+    crm = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("bk"), F.col("c_mktsegment").alias("class"),
+        F.when(F.col("c_acctbal") >= 0, "credit").alias("standing"), F.lit("1990-01-01").cast("timestamp_ntz").alias("load_dttm"), F.lit(0).cast("long").alias("nth"),
+    )
+    shop = table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("bk"), F.col("o_orderpriority").alias("class"), F.col("o_orderstatus").alias("standing"),
+        F.col("o_orderdate").alias("load_dttm"), F.col("o_orderkey").alias("nth"),
+    )
+    app = table(spark, sf, "events").select(
+        F.col("user_id").alias("bk"), F.col("event_type").alias("class"), F.lit(None).cast("string").alias("standing"),
+        F.col("ts").alias("load_dttm"), F.col("event_id").alias("nth"),
+    )
+    found = {"app": app, "shop": shop, "crm": crm}
+    return {n: df.withColumns({"hk_customer": hash_key("bk"), "record_source": F.lit(n)}) for n, df in found.items()}
+
+
+def customer_sats(spark, sf):
+    return {n: v.sat_load(None, df, "hk_customer", ["class", "standing"], ["nth"]) for n, df in customer_sources(spark, sf).items()}
+
+
+@query("sat_per_source", f"""
+    WITH {SOURCE_ROWS_SQL}
+    SELECT md5(CAST(bk AS VARCHAR)) AS hk_customer, hashdiff, class, standing, src AS record_source, tm AS load_dttm FROM sats""")
+def sat_per_source(spark, sf):
+    """The satellites of all systems under the hub of customers."""
+    app, shop, crm = customer_sats(spark, sf).values()
+    return app.unionByName(shop).unionByName(crm)
+
+
+@query("dim_customer_merged", f"""
+    WITH {SOURCE_ROWS_SQL},
+    spans AS (
+      SELECT src, bk, class, standing, tm AS a,
+             least(lead(tm) OVER (PARTITION BY src, bk ORDER BY tm),
+                   CASE src WHEN 'app' THEN tm + INTERVAL 3 DAY WHEN 'shop' THEN tm + INTERVAL 400 DAY END) AS b FROM sats),
+    borders AS (SELECT bk, a AS p FROM spans UNION SELECT bk, b FROM spans WHERE b IS NOT NULL),
+    pieces AS (SELECT bk, p FROM borders),
+    filled AS (
+      SELECT x.bk, x.p,
+             max(app.class) AS c1, max(shop.class) AS c2, max(crm.class) AS c3, max(app.standing) AS s1, max(shop.standing) AS s2, max(crm.standing) AS s3,
+             count(app.bk) + count(shop.bk) + count(crm.bk) AS n
+      FROM pieces x
+      LEFT JOIN spans app ON app.src = 'app' AND app.bk = x.bk AND app.a <= x.p AND (app.b IS NULL OR x.p < app.b)
+      LEFT JOIN spans shop ON shop.src = 'shop' AND shop.bk = x.bk AND shop.a <= x.p AND (shop.b IS NULL OR x.p < shop.b)
+      LEFT JOIN spans crm ON crm.src = 'crm' AND crm.bk = x.bk AND crm.a <= x.p AND (crm.b IS NULL OR x.p < crm.b)
+      GROUP BY x.bk, x.p),
+    chosen AS (
+      SELECT bk, p, n > 0 AS has_any, coalesce(c1, c2, c3) AS class, coalesce(s1, s2, s3) AS standing,
+             CASE WHEN c1 IS NOT NULL THEN 'app' WHEN c2 IS NOT NULL THEN 'shop' WHEN c3 IS NOT NULL THEN 'crm' ELSE '' END AS class_source,
+             CASE WHEN s1 IS NOT NULL THEN 'app' WHEN s2 IS NOT NULL THEN 'shop' WHEN s3 IS NOT NULL THEN 'crm' ELSE '' END AS standing_source
+      FROM filled),
+    marked AS (
+      SELECT *, lag(has_any || class_source || standing_source || coalesce(class, '-') || '|' || coalesce(standing, '-')) OVER w AS before,
+             has_any || class_source || standing_source || coalesce(class, '-') || '|' || coalesce(standing, '-') AS now
+      FROM chosen WINDOW w AS (PARTITION BY bk ORDER BY p)),
+    starts AS (SELECT *, lead(p) OVER (PARTITION BY bk ORDER BY p) AS q FROM marked WHERE before IS DISTINCT FROM now)
+    SELECT md5(CAST(bk AS VARCHAR)) AS hk_customer, bk AS customer_bk, class, standing, class_source, standing_source, p AS valid_from, q AS valid_to
+    FROM starts WHERE has_any""")
+def dim_customer_merged(spark, sf):
+    """One customer dimension out of the three: an event of the app speaks for three days, an order for 400, the rest is the crm's."""
+    periods = {}
+    for name, sat in customer_sats(spark, sf).items():
+        told, days = v.effectivity(sat, "hk_customer"), SOURCE_VALIDITY[name]
+        if days is not None:
+            told = told.withColumn("valid_to", F.least("valid_to", F.col("valid_from") + F.make_dt_interval(F.lit(days))))
+        periods[name] = told
+    hub = None
+    for df in customer_sources(spark, sf).values():
+        rows = df.select(F.col("bk").alias("customer_bk"), "record_source", "load_dttm")
+        hub = rows if hub is None else hub.unionByName(rows)
+    hub = v.hub_load(None, hub, "customer_bk", "hk_customer").select("hk_customer", "customer_bk")
+    merged = overlay(periods, "hk_customer", ["class", "standing"])
+    return merged.join(hub, "hk_customer").select(
+        "hk_customer", "customer_bk", "class", "standing", F.col("sources")[0].alias("class_source"),
+        F.col("sources")[1].alias("standing_source"), "valid_from", "valid_to",
+    )
+
+
+LATE_FROM, LATE_TO = "2024-01-10", "2024-01-15"
+IN_LATE = f"ts >= TIMESTAMP '{LATE_FROM}' AND ts < TIMESTAMP '{LATE_TO}'"
+
+
+def on_time_and_late(src):
+    late = (F.col("load_dttm") >= F.lit(LATE_FROM).cast("timestamp_ntz")) & (F.col("load_dttm") < F.lit(LATE_TO).cast("timestamp_ntz"))
+    return src.where(~late), src.where(late)
+
+
+@query("sat_late_repair", f"""
+    WITH e AS (SELECT user_id, event_type, ts, md5(lower(trim(event_type))) AS h, {IN_LATE} AS late
+               FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn FROM events) x WHERE rn = 1),
+    stored AS (SELECT * FROM (SELECT *, lag(h) OVER (PARTITION BY user_id ORDER BY ts) AS prior FROM e WHERE NOT late) x WHERE prior IS DISTINCT FROM h),
+    newest AS (SELECT user_id, max(ts) AS since FROM stored GROUP BY user_id),
+    later AS (SELECT e.* FROM e LEFT JOIN newest USING (user_id) WHERE late AND (since IS NULL OR ts > since)),
+    on_top AS (SELECT user_id, event_type, ts, h FROM (
+      SELECT l.*, coalesce(lag(l.h) OVER (PARTITION BY l.user_id ORDER BY l.ts), (SELECT arg_max(s.h, s.ts) FROM stored s WHERE s.user_id = l.user_id)) AS prior FROM later l) x
+      WHERE prior IS DISTINCT FROM h),
+    every AS (
+      SELECT user_id, event_type, ts, h FROM stored UNION SELECT user_id, event_type, ts, h FROM on_top
+      UNION SELECT e.user_id, event_type, ts, h FROM e JOIN newest n ON n.user_id = e.user_id WHERE late AND ts <= since),
+    chain AS (SELECT *, lag(h) OVER (PARTITION BY user_id ORDER BY ts) AS prior FROM every)
+    SELECT md5(CAST(user_id AS VARCHAR)) AS hk_user, event_type AS status, ts AS load_dttm FROM chain WHERE prior IS DISTINCT FROM h""")
+def sat_late_repair(spark, sf):
+    """Five days of events come after all others: loaded, their late rows repaired, compensations netted."""
+    on_time, late = on_time_and_late(user_source(spark, sf))
+    sat = v.sat_load(None, on_time, "hk_user", ["status"], ["event_id"])
+    sat = cut(sat.unionByName(v.sat_load(sat, late, "hk_user", ["status"], ["event_id"])))
+    once = latest_by_key(late, ["hk_user", "load_dttm"], [F.desc("event_id")])
+    fixes = v.sat_repair(sat, v.behind(sat, once, "hk_user"), "hk_user", ["status"])
+    whole = sat.withColumn("is_void", F.lit(False)).unionByName(fixes)
+    return v.sat_net(whole, "hk_user").select("hk_user", "status", "load_dttm")
+
+
+@query("multi_active_late", f"""
+    WITH m AS (SELECT DISTINCT user_id, event_type, date_trunc('day', ts) AS tm, {IN_LATE} AS late FROM events),
+    sets AS (SELECT user_id, tm, late, string_agg(event_type, ',' ORDER BY event_type) AS vals FROM m GROUP BY ALL),
+    stored AS (SELECT * FROM (SELECT *, lag(vals) OVER (PARTITION BY user_id ORDER BY tm) AS prior FROM sets WHERE NOT late) x WHERE prior IS DISTINCT FROM vals),
+    every AS (SELECT user_id, tm, vals FROM stored UNION SELECT user_id, tm, vals FROM sets WHERE late),
+    chain AS (SELECT *, lag(vals) OVER (PARTITION BY user_id ORDER BY tm) AS prior FROM every)
+    SELECT md5(CAST(user_id AS VARCHAR)) AS hk_user, unnest(string_split(vals, ',')) AS status, tm AS load_dttm
+    FROM chain WHERE prior IS DISTINCT FROM vals""")
+def multi_active_late(spark, sf):
+    """The sets of statuses of five days come after all others."""
+    days = user_source(spark, sf).withColumn("load_dttm", F.date_trunc("day", "load_dttm").cast("timestamp_ntz"))
+    on_time, late = on_time_and_late(days)
+    sat = v.multi_active_load(None, on_time, "hk_user", ["status"])
+    sat = cut(sat.unionByName(v.multi_active_load(sat, late, "hk_user", ["status"])))
+    fixes = v.multi_active_repair(sat, v.behind(sat, late, "hk_user"), "hk_user", ["status"])
+    whole = sat.withColumn("is_void", F.lit(False)).unionByName(fixes)
+    return v.sat_net(whole, "hk_user").select("hk_user", "status", "load_dttm")
