@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +14,11 @@ from chronostrata.operators.joins import join_as_of
 from chronostrata.operators.latest import latest_attrs
 
 
-def fact_sales(orders: DataFrame, items: DataFrame, dim_product: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """One row per order line with the customer version valid on the order date.
+def fact_sales(
+    orders: DataFrame, items: DataFrame, dim_product: DataFrame, dim_customer: DataFrame, carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row per order line with the customer version valid on the order date. `carry` names columns of
+    the lines to be kept.
 
     The version is looked up once per order, before lines multiply the rows. Lines of orders
     older than the customer's first version, or of unknown products, are not in the fact;
@@ -25,13 +28,14 @@ def fact_sales(orders: DataFrame, items: DataFrame, dim_product: DataFrame, dim_
     dated = orders.select("order_id", "order_date", F.col("customer_id").alias("customer_bk"))
     headers = join_as_of(dated, versions, "customer_bk", "order_date").select("order_id", "order_date", "customer_sk")
     products = dim_product.select("product_sk", F.col("product_bk").alias("product_id"))
-    lines = items.select("order_id", "product_id", "qty", "price_at_sale").join(headers, "order_id")
+    lines = items.select("order_id", "product_id", "qty", "price_at_sale", *carry).join(headers, "order_id")
     return lines.join(products, "product_id").select(
         "customer_sk",
         "product_sk",
         date_key("order_date").alias("date_key"),
         F.col("qty").alias("quantity"),
         amount("price_at_sale", "qty").alias("amount"),
+        *carry,
     )
 
 
@@ -156,6 +160,15 @@ def price_differences(lines: DataFrame, prices: DataFrame, key: str = "product_i
     return matched.where(F.col("price") != F.col("price_at_sale")).drop("valid_from", "valid_to")
 
 
-def mart_slice(mart: DataFrame, date_from: Column | dt.date | str, date_to: Column | dt.date | str) -> DataFrame:
-    """Days of a mart, both ends included. Sort the result where it is shown."""
-    return mart.where(F.col("date_actual").between(as_date(date_from), as_date(date_to)))
+def mart_slice(
+    mart: DataFrame,
+    date_from: Column | dt.date | str,
+    date_to: Column | dt.date | str,
+    listed: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """Days of a mart, both ends included; `listed` names columns with the values wanted of them. Sort the
+    result where it is shown."""
+    days = mart.where(F.col("date_actual").between(as_date(date_from), as_date(date_to)))
+    for column, values in (listed or {}).items():
+        days = days.where(F.col(column).isin(list(values)))
+    return days

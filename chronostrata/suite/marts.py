@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from chronostrata.functions import as_date, version_key
@@ -146,6 +148,25 @@ def mart_slice(spark, sf):
     return sales.mart_slice(mart_daily_sales(spark, sf), "1998-04-01", "1998-04-30")
 
 
+# Days of orders that are missing on purpose, and two segments of which one does not exist.
+LISTED_DAYS = ("1998-04-02", "1998-04-09", "1998-04-23")
+
+
+@query("mart_slice_listed", f"""
+    WITH {FACT_SQL},
+    mart AS (
+      SELECT order_date AS date_actual, p_name AS product_name,
+             CASE WHEN amount >= {THRESHOLD} THEN 'Premium' ELSE 'Basic' END AS customer_segment,
+             CAST(sum(quantity) AS BIGINT) AS total_qty, CAST(sum(amount) AS DECIMAL(18,2)) AS total_revenue
+      FROM fact JOIN part ON p_partkey = product_sk GROUP BY 1, 2, 3)
+    SELECT * FROM mart WHERE date_actual BETWEEN DATE '1998-04-01' AND DATE '1998-04-30'
+      AND date_actual IN ({', '.join(f"DATE '{d}'" for d in LISTED_DAYS)}) AND customer_segment IN ('Premium', 'None')""")
+def mart_slice_listed(spark, sf):
+    days = [dt.date.fromisoformat(d) for d in LISTED_DAYS]
+    listed = {"date_actual": days, "customer_segment": ["Premium", "None"]}
+    return sales.mart_slice(mart_daily_sales(spark, sf), "1998-04-01", "1998-04-30", listed)
+
+
 @query("customer_360", f"""
     WITH {FACT_SQL},
     newest AS (SELECT customer_bk, segment FROM (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chronostrata.functions import to_int, to_money
 from chronostrata.plans.warehouse import Warehouse, customer_increment, full_load
 from chronostrata.session import shared_dir
-from chronostrata.sources.staging import read_stg_csv, with_load_meta
+from chronostrata.sources.staging import read_stg_csv, stage_rows, with_load_meta
 from chronostrata.sources.tables import append_rows, read_table, replace_partitions, write_history, write_version
 from chronostrata.suite.base import DAILY_SQL, query, table
 from chronostrata.suite.history import daily_history
@@ -157,3 +157,23 @@ def full_load_then_increment(spark, sf):
     customer_increment(moved, at, RUN)
     dim = customer_increment(moved, at, RUN)["dim_customer"]
     return dim.select("customer_bk", "email", "city", "valid_from", "valid_to", "customer_sk")
+
+
+# A batch typed in by hand, blanks and all, that gives the steps of the log their names.
+STEP_ROWS = [("signup", "start", " 1"), ("view", "look", "2"), ("click", "look", "3 "), ("purchase", "buy", "4"), ("purchase", "buy", "4"), ("error", None, "x")]
+STEP_COLUMNS = ("step", "stage", "nth")
+
+
+@query("literal_batch", f"""
+    WITH steps(step, stage, nth) AS (VALUES {", ".join(f"('{a}', {'NULL' if b is None else repr(b)}, '{c}')" for a, b, c in STEP_ROWS)})
+    SELECT e.event_type, s.stage, TRY_CAST(trim(s.nth) AS INTEGER) AS nth, 'steps_1' AS load_id, TIMESTAMP '2024-02-06 08:00:00' AS load_ts,
+           count(*) AS events
+    FROM events e JOIN steps s ON s.step = e.event_type GROUP BY ALL""")
+def literal_batch(spark, sf):
+    """Rows of the batch are staged as they are, repeats included, and met by all events."""
+    steps = stage_rows(spark, STEP_ROWS, STEP_COLUMNS, "steps_1", dt.datetime(2024, 2, 6, 8))
+    named = table(spark, sf, "events").join(steps, F.col("event_type") == F.col("step"))
+    typed = named.select(
+        "event_type", "stage", to_int(F.trim("nth")).alias("nth"), F.col("_load_id").alias("load_id"), F.col("_load_ts").alias("load_ts")
+    )
+    return typed.groupBy(*typed.columns).agg(F.count("*").alias("events"))

@@ -3,10 +3,13 @@ from __future__ import annotations
 import datetime as dt
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from chronostrata.operators import vault as v
 from chronostrata.operators.joins import expand_days
-from chronostrata.operators.search import vector_top_k
+from chronostrata.operators import search
+from chronostrata.operators.search import ragged, vector_top_k
 
 T = dt.datetime.fromisoformat
 D = dt.date.fromisoformat
@@ -113,3 +116,39 @@ def test_top_k_equals_brute_force(spark):
             got.setdefault(r.query_id, []).append(r.vec_id)
         assert got == want
     assert vector_top_k(qs.where("false"), vs, 7).count() == 0
+
+
+@pytest.mark.parametrize("broadcast_bytes", [search.BROADCAST_BYTES, 0])
+def test_top_k_of_many_blocks_and_ragged_vectors(spark, monkeypatch, broadcast_bytes):
+    """Broadcast blocks and the grid of blocks and parts, with vectors of several lengths and none at all."""
+    monkeypatch.setattr(search, "BROADCAST_BYTES", broadcast_bytes)
+    rng = np.random.default_rng(5)
+    vectors = [(f"v{i:03}", rng.normal(size=4 if i % 3 else 6).tolist()) for i in range(200)] + [("none", None), ("empty", [])]
+    queries = [(i, rng.normal(size=(4, 6, 5)[i % 3]).tolist()) for i in range(60)] + [(98, None), (99, [1.0, None, 0.0, 1.0])]
+    vs = spark.createDataFrame(vectors, "vec_id string, embedding array<double>").repartition(4)
+    qs = spark.createDataFrame(queries, "query_id long, embedding array<double>")
+    want = set()
+    for q, x in queries:
+        same = [] if x is None or None in x else [(n, y) for n, y in vectors if y and len(y) == len(x)]
+        scores = {n: float(np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y)) for n, y in same}
+        want |= {(q, n, r) for r, n in enumerate(sorted(scores, key=lambda n: (-scores[n], n))[:5], 1)}
+    found = vector_top_k(qs, vs, 5, block=7, part=50)
+    # As planned; what adaptive execution makes of these few rows is another matter.
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in found.collect()} == want
+    assert ("BroadcastHashJoin" in text) == bool(broadcast_bytes) and "CartesianProduct" not in text and "NestedLoop" not in text
+    told = {(r.side, r.id, r.length) for r in ragged(qs, vs).collect()}
+    assert told == {("query", str(q), len(x)) for q, x in queries if x and len(x) == 5} | {("query", "98", None), ("vector", "none", None), ("vector", "empty", 0)}
+
+
+def test_hashed_keys_need_no_shuffle_and_ranges_follow_the_rows(spark):
+    from chronostrata.operators.keys import assign_keys, hash_keys
+
+    rows = spark.range(1000).withColumn("x", F.col("id") % 7)
+    keyed = hash_keys(rows, ["id", "x"], "sk")
+    assert "Exchange" not in keyed._jdf.queryExecution().executedPlan().toString()
+    first, again = ({r.id: r.sk for r in hash_keys(df, ["id", "x"], "sk").collect()} for df in (rows, rows.repartition(3)))
+    assert first == again and len(set(first.values())) == 1000 and min(first.values()) >= 0
+    numbered = assign_keys(rows, ["x", "id"], "sk", rows_per_partition=100)
+    assert numbered.rdd.getNumPartitions() >= 1 and [r.sk for r in numbered.orderBy("x", "id").collect()] == list(range(1, 1001))
+    assert assign_keys(rows.where("false"), ["id"], "sk").count() == 0
