@@ -151,9 +151,9 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_suffix_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document without its repeated strings of 400 bytes."""
+    """What is left of every document without its repeated strings of 400 bytes, and the runs of bytes that go."""
     told = suffix.repeated_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return told.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return told.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed")
 
 
 @query("op4_chained_passages")
@@ -236,7 +236,8 @@ FROM s GROUP BY conv_id"""
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is read back from every formatted conversation: its turns, and the text under the loss mask."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    planted = spark.createDataFrame([(-1, 0, "user", PLANTED), (-1, 1, "assistant", PLANTED)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(PLANTED).alias("text"))
     return chat.digests(chat.format_conversations(rows.unionByName(planted)))
 
 
