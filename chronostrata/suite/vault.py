@@ -8,7 +8,7 @@ from chronostrata.fixed_values import ORDER_STATUS_CHAIN
 from chronostrata.functions import as_date, conform_key, hash_key
 from chronostrata.operators import anchor as a
 from chronostrata.operators import vault as v
-from chronostrata.operators.latest import latest_by_key
+from chronostrata.operators.latest import last_of_day, latest_by_key
 from chronostrata.operators.overlay import overlay
 from chronostrata.session import cut
 from chronostrata.suite.base import CUT, ORDERS_AS_OF, query, status_log, table
@@ -319,7 +319,7 @@ def vip_flags(spark, sf):
 def flat_customer(spark, sf):
     """Orders carry a day only, so the last order of a day tells the segment of that day."""
     src = order_source(spark, sf).withColumn("hk_customer", hash_key("customer_bk"))
-    daily = v.last_of_day(src, "hk_customer", "load_dttm", ["order_bk"]).drop("_day")
+    daily = last_of_day(src, "hk_customer", "load_dttm", ["order_bk"]).drop("_day")
     sat = v.sat_load(None, daily, "hk_customer", ["segment"])
     hub = v.hub_load(None, order_source(spark, sf), "customer_bk", "hk_customer")
     return v.flat_customer(hub, {"segment": (sat, ["segment"])}, flags(spark, sf), "hk_customer", "customer_bk")
