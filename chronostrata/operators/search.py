@@ -39,7 +39,8 @@ def vector_top_k(
     that are small together (their size is checked) are broadcast, so vectors are not shuffled; more of them are
     dealt with the packs over a grid of blocks and parts of the vectors. A joined row is one matrix product, which sends
     on at most `k` vectors per query, and the best `k` are kept again before and after the last shuffle. It is one plan
-    for any number of queries, none of which goes through the driver.
+    for any number of queries, none of which goes through the driver. Queries are read twice (counted, packed): where
+    they are costly to make, `session.cut` them first.
 
     Rows without a vector are neither asked for nor found; queries and vectors of different lengths do not
     meet. `ragged` lists what therefore has no partner.
