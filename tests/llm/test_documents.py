@@ -9,8 +9,9 @@ from collections import Counter, defaultdict
 
 import pytest
 from conftest_rows import LONG, ROWS, STORY
+from pyspark.sql import functions as F
 
-from chronostrata.llm import chaining, curriculum, iblt, minhash, quality, sharding, suffix
+from chronostrata.llm import chaining, curriculum, iblt, minhash, native, quality, sharding, suffix
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -281,6 +282,89 @@ def test_shards_keep_the_mixture(spark):
     assert all(abs(told[(s, "small")] - 50) <= 5 and abs(told[(s, "big")] - 450) <= 15 for s in range(8))
 
 
+def shares_off(out, n_shards):
+    """The largest difference, in per cent, of a source's bytes in a shard from its even share."""
+    told = sharding.shard_sources(out).collect()
+    by = {(r["shard"], r["source"]): r["bytes"] for r in told}
+    worst = 0.0
+    for s in {r["source"] for r in told}:
+        own = [by.get((i, s), 0) for i in range(n_shards)]
+        worst = max(worst, *[abs(100 * n_shards * x / sum(own) - 100) for x in own])
+    return worst
+
+
+def test_shards_keep_the_mixture_with_copies(spark):
+    plain = [(i, " ".join(own_words(f"p{i}x", 12)), "plain") for i in range(4000)]
+    copies = [(10_000 + i, " ".join(own_words(f"c{i % 1000}x", 12)), "copied") for i in range(20_000)]
+    out = sharding.interleaved_shards(spark.createDataFrame(plain + copies, "doc_id long, text string, source string"), 8)
+    homes = defaultdict(set)
+    for r in out.select("text_crc32", "shard").collect():
+        homes[r["text_crc32"]].add(r["shard"])
+    assert all(len(x) == 1 for x in homes.values())
+    assert shares_off(out, 8) < 5
+
+
+def test_shards_even_out_heavy_groups_by_source(spark):
+    heavy = [(i, f"the same words in all copies of {i % 12}", "copied") for i in range(1200)]
+    rest = [(10_000 + i, " ".join(own_words(f"r{i}x", 9)), "copied") for i in range(3000)]
+    plain = [(20_000 + i, " ".join(own_words(f"p{i}x", 9)), "plain") for i in range(3000)]
+    out = sharding.interleaved_shards(spark.createDataFrame(heavy + rest + plain, "doc_id long, text string, source string"), 8)
+    sizes = [r["n"] for r in out.groupBy("shard").agg(F.sum("size").alias("n")).collect()]
+    assert max(sizes) - min(sizes) < 0.03 * sum(sizes) / 8
+    assert shares_off(out, 8) < 6
+
+
+def test_shard_cuts_equal_a_plain_version(spark, corpus):
+    """Ranks, warp and cuts again in plain Python, from the draws alone."""
+    docs = corpus.unionByName(corpus.where("doc_id % 3 = 0"))
+    n = 4
+    slim = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.md5("text"))
+    slim = slim.withColumn("draw", native.mixed_order("shards", F.upper("key")))
+    slim = slim.withColumn("u", F.pmod(F.xxhash64("draw", F.unhex("key")), F.lit(1 << 20)) / (1 << 20))
+    groups = {}
+    for r in slim.collect():
+        size = len(r["text"].encode()) + 1
+        part = "z" if r["source"] is None else "s" + r["source"]
+        g = groups.setdefault(bytes.fromhex(r["key"]), {"draw": r["draw"], "u": r["u"], "of": Counter(), "id": set()})
+        g["of"][part] += size
+        g["id"].add(r["doc_id"])
+    total = sum(sum(g["of"].values()) for g in groups.values())
+    for g in groups.values():
+        g["bytes"], g["part"] = sum(g["of"].values()), max(g["of"], key=lambda p: (g["of"][p], p))
+    bound = total // (n * sharding.HEAVY_PARTS)
+    heavy = {k: g for k, g in groups.items() if g["bytes"] > bound}
+    loads, own, home = [0] * n, defaultdict(lambda: [0] * n), {}
+    for k, g in sorted(heavy.items(), key=lambda x: (-x[1]["bytes"], x[0])):
+        allowed = [i for i in range(n) if loads[i] - min(loads) <= g["bytes"]]
+        i = sorted(allowed, key=lambda i: (own[g["part"]][i], loads[i], i))[0]
+        home[k] = i
+        loads[i] += g["bytes"]
+        own[g["part"]][i] += g["bytes"]
+    placed = []
+    for part in {g["part"] for g in groups.values()}:
+        mine = sorted((g["draw"], k) for k, g in groups.items() if g["part"] == part and k not in heavy)
+        size = sum(groups[k]["bytes"] for _, k in mine)
+        room = sharding._room(own[part], size) if part in own else [1] * n
+        ends = [sum(room[: i + 1]) / sum(room) for i in range(n)] if size else []
+        before = 0
+        for _, k in mine:
+            f = (before + groups[k]["u"] * groups[k]["bytes"]) / size
+            before += groups[k]["bytes"]
+            i = next((i for i, e in enumerate(ends) if f < e), n - 1)
+            low = ends[i - 1] if i else 0.0
+            at = (i + ((f - low) / (ends[i] - low) if ends[i] > low else 0.5)) / n if part in own else f
+            placed.append((min(int(at * (1 << 40)), (1 << 40) - 1), k))
+    room, before = sharding._room(loads, sum(groups[k]["bytes"] for _, k in placed)), 0
+    open_shards = [i for i in range(n) if room[i]] or [0]
+    for _, k in sorted(placed):
+        middle = 2 * before + groups[k]["bytes"]
+        home[k] = next((i for i in open_shards[:-1] if middle < 2 * sum(room[: i + 1])), open_shards[-1])
+        before += groups[k]["bytes"]
+    want = {(i, home[k]) for k, g in groups.items() for i in g["id"]}
+    told = {(r["doc_id"], r["shard"]) for r in sharding.interleaved_shards(docs, n).collect()}
+    assert told == want
+
+
 def brute_targets(sizes, weights, cap):
     out, open_, rest = {}, dict(weights), float(sum(sizes.values()))
     while open_:
