@@ -180,17 +180,22 @@ l AS (
 o AS (
   SELECT *, CAST(sum(len1) OVER w AS BIGINT) - len1 AS start1, CAST(sum(len2) OVER w AS BIGINT) - len2 AS start2,
          row_number() OVER w - 1 AS place
-  FROM l WINDOW w AS (PARTITION BY archive ORDER BY page_id ROWS UNBOUNDED PRECEDING))
-SELECT CAST(archive AS VARCHAR) AS archive, place, page_id, start1 AS start_byte, start1 + len1 AS end_byte,
-       start2 AS other_start, start2 + len2 AS other_end,
-       CASE WHEN len1 = len2 AND start1 <> start2 THEN 'moved' ELSE 'damaged' END AS kind
-FROM o WHERE html <> html2 OR start1 <> start2"""
+  FROM l WINDOW w AS (PARTITION BY archive ORDER BY page_id ROWS UNBOUNDED PRECEDING)),
+r AS (
+  SELECT *, sum(CAST(len1 <> len2 AS INT)) OVER w - CAST(len1 <> len2 AS INT) AS run
+  FROM o WINDOW w AS (PARTITION BY archive ORDER BY place ROWS UNBOUNDED PRECEDING))
+SELECT CAST(archive AS VARCHAR) AS archive, place, 1 AS n_records, page_id, start1 AS start_byte, start1 + len1 AS end_byte,
+       start2 AS other_start, start2 + len2 AS other_end, 'damaged' AS kind
+FROM o WHERE html <> html2
+UNION ALL
+SELECT CAST(archive AS VARCHAR), min(place), count(*), NULL, min(start1), max(start1 + len1), min(start2), max(start2 + len2), 'moved'
+FROM r WHERE start1 <> start2 GROUP BY archive, run"""
 
 
 @query("op3_merkle_fixity", FIXITY_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of a replica of all pages that differ from the original, by comparing hash trees."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     middle = F.floor(F.length("html") / 2).cast("int")
     head = F.substring(F.col("html"), F.lit(1), middle)
     tail = F.substring(F.col("html"), middle + 2, F.length("html"))
@@ -200,12 +205,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         fixity.merkle_tree(fixity.records(p, archive)) for p in (pages, pages.withColumn("html", changed))
     )
     told = fixity.audit(ours, theirs)
-    # The query's SQL tells kinds by length and offset only; `audit` tells them by digest.
-    moved = (F.col("end") - F.col("start") == F.col("other_end") - F.col("other_start")) & (F.col("start") != F.col("other_start"))
-    kind = F.when(moved, F.lit("moved")).otherwise(F.lit("damaged"))
     return told.select(
-        "archive", "place", F.col("key").alias("page_id"), F.col("start").alias("start_byte"),
-        F.col("end").alias("end_byte"), "other_start", "other_end", kind.alias("kind"),
+        "archive", "place", "n_records", F.col("key").alias("page_id"), F.col("start").alias("start_byte"),
+        F.col("end").alias("end_byte"), "other_start", "other_end", "kind",
     )
 
 
