@@ -9,14 +9,16 @@
    node only: first the signatures (at least 0.6 of the minima equal; for a pair of similarity 0.8
    this fails in 1 of 10^8 cases), then the full sets. Components of these links come next.
 4. Only links between nodes of a bucket that lie in different components can still matter: strays
-   against the bucket's main component and against each other. Their signatures are compared in blocks of
-   bounded size; pairs that agree go on to the full sets, and the components are taken again. The most
-   alike pairs go first, twice, and then all that are left: a large group of near copies is one component
-   by then, so the pairs within it are never listed.
+   against the bucket's main component and against each other. They are compared in blocks of bounded
+   size: the signatures, the sizes, and sets of 16-bit hashes, which never show less in common than the full
+   sets do. So what a block lists are links but for hash collisions (more of them in texts of tens of
+   thousands of words); the full sets decide, and the components are taken again. The most alike pairs go
+   first, twice, and then all that are left: a large group of near copies is one component by then, so the
+   pairs within it are never listed, nor are those of a group whose texts are not quite alike enough.
 
 Links inside a component that step 3 has found are not listed: the component is the result.
 
-Defined results: null, empty and blank texts have no shingles and no links. Fewer words than a
+Defined results: null, empty and blank texts have no shingles and no links; very long texts are taken whole. Fewer words than a
 shingle make one shingle. Null ids are the largest ids. Repeated rows are in one component. An empty
 table gives an empty result.
 """
@@ -45,6 +47,7 @@ ESTIMATE = 0.6
 # components; then all pairs that are left.
 BEST_ROUNDS = (3, 3, None)
 CHUNK = 1024  # nodes of a bucket that are compared at a time; all are compared
+CHUNK_SHINGLES = 1 << 21  # shingles they have together, but for a single longer text
 
 
 def _minima(shingles: np.ndarray) -> bytes:
@@ -110,7 +113,8 @@ def _sets(size: int):
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
             flat = np.concatenate([np.empty(0, np.uint64), *own]).view(np.int64)
             lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["node", "shingles"])
+            small = pa.array([np.sort(mix(x) >> np.uint64(48)).astype("<u2").tobytes() for x in own], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, small], names=["node", "shingles", "small"])
 
     return run
 
@@ -134,7 +138,7 @@ class _Links:
         return cut(both.where(shared * 100 >= union * self.percent).select("a", "b"))
 
 
-def _blocks(crowded: DataFrame, grouped: DataFrame, nodes: DataFrame) -> DataFrame:
+def _blocks(crowded: DataFrame, grouped: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """Buckets that hold several components, in blocks of at most about 2 * CHUNK nodes.
 
     Nodes in the component of the bucket's least node (its main one) are compared with the strays of
@@ -146,28 +150,37 @@ def _blocks(crowded: DataFrame, grouped: DataFrame, nodes: DataFrame) -> DataFra
     main = F.max(F.expr("IF(node = least, component, NULL)")).alias("main")
     buckets = told.groupBy("band").agg(main, F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = told.join(buckets.where("low <> high").select("band", "main"), "band")
-    mixed = cut(mixed.select("band", "node", "component", (F.col("component") != F.col("main")).alias("stray")))
-    counts = mixed.groupBy("band").agg(
-        F.ceil(F.sum(F.expr("IF(stray, 0, 1)")) / CHUNK).cast("int").alias("mains"),
-        F.ceil(F.sum(F.expr("IF(stray, 1, 0)")) / CHUNK).cast("int").alias("strays"),
-    )
+    mixed = mixed.join(nodes.select("node", "n_shingles"), "node")
+    mixed = cut(mixed.select("band", "node", "component", "n_shingles", (F.col("component") != F.col("main")).alias("stray")))
+
+    def chunks(stray: str) -> Column:
+        many, much = (F.sum(F.expr(f"IF({stray}, {x}, 0)")) for x in ("1", "n_shingles"))
+        return F.greatest(F.ceil(many / CHUNK), F.ceil(much / CHUNK_SHINGLES)).cast("int")
+
+    counts = mixed.groupBy("band").agg(chunks("NOT stray").alias("mains"), chunks("stray").alias("strays"))
     hashed = F.xxhash64("node")
-    rows = mixed.join(counts, "band").join(nodes.select("node", "signature"), "node")
+    rows = mixed.join(counts, "band").join(nodes.select("node", "signature"), "node").join(sets.select("node", "small"), "node")
     chunk = F.when(F.col("stray"), F.col("mains") + F.pmod(hashed, F.col("strays"))).otherwise(F.pmod(hashed, F.col("mains")))
     rows = rows.withColumn("chunk", chunk.cast("int"))
     partners = F.when(F.col("stray"), F.sequence(F.lit(0), F.col("mains") + F.col("strays") - 1)).otherwise(
         F.sequence(F.col("mains"), F.col("mains") + F.col("strays") - 1)
     )
     dealt = rows.withColumn("partner", F.explode(partners))
-    item = F.struct("node", "component", "signature", "chunk")
+    item = F.struct("node", "component", "signature", "chunk", "small")
     return dealt.groupBy("band", F.least("chunk", "partner").alias("lo"), F.greatest("chunk", "partner").alias("hi")).agg(
         F.collect_list(item).alias("items")
     )
 
 
-def _pairs_of_blocks(best: int | None):
-    """Pairs of a block that lie in different components and whose signatures agree: of each node the
-    `best` ones, or all. A pair that shares several bands is told in the first of them only."""
+def _codes(small: bytes) -> np.ndarray:
+    """A multiset of 16-bit hashes as a set of numbers: the hash, and how many equal ones stand before it."""
+    values = np.frombuffer(small, dtype="<u2").astype(np.int64)  # sorted
+    return values + ((np.arange(len(values)) - np.searchsorted(values, values)) << 16)
+
+
+def _pairs_of_blocks(best: int | None, percent: int):
+    """Pairs of a block that lie in different components and whose signatures, sizes and small sets agree: of each
+    node the `best` ones, or all. A pair that shares several bands is told in the first of them only."""
     number = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,6 +194,9 @@ def _pairs_of_blocks(best: int | None):
                 signature = np.frombuffer(b"".join(items.field("signature").to_pylist()), dtype="<u2").reshape(-1, BANDS * ROWS)
                 bands = mix(signature.view("<u8") ^ number[None, :]).view(np.int64)
                 here = int(np.argmax((bands == band.as_py()).all(axis=0)))
+                codes = [_codes(x) for x in items.field("small").to_pylist()]
+                size = np.array([len(x) for x in codes])
+                marked = np.zeros(max(int(x.max()) for x in codes) + 1, bool)
                 first, second = (np.flatnonzero(chunk == c.as_py()) for c in (lo, hi))
                 sides = [(first, second)] if lo.as_py() == hi.as_py() or best is None else [(first, second), (second, first)]
                 for own, across in sides:
@@ -191,9 +207,20 @@ def _pairs_of_blocks(best: int | None):
                         count = np.count_nonzero(equal, axis=1)
                         alike = np.flatnonzero(count >= ESTIMATE * BANDS * ROWS)
                         alike = alike[(bands[others[alike]] == bands[i]).argmax(axis=1) == here]
-                        others, count = others[alike], count[alike]
+                        others = others[alike]
+                        near = np.minimum(size[others], size[i]) * 100 >= np.maximum(size[others], size[i]) * percent
+                        others = others[near]
+                        if not len(others):
+                            continue
+                        marked[codes[i]] = True
+                        starts = np.cumsum(size[others]) - size[others]
+                        shared = np.add.reduceat(marked[np.concatenate([codes[j] for j in others])].astype(np.int64), starts)
+                        marked[codes[i]] = False
+                        union = size[others] + size[i] - shared
+                        linked = shared * 100 >= union * percent
+                        others, likeness = others[linked], (shared / union)[linked]
                         if best is not None and len(others) > best:
-                            others = others[np.argsort(-count, kind="stable")[:best]]
+                            others = others[np.argsort(-likeness, kind="stable")[:best]]
                         for j in others:
                             a, b = sorted((node[i], node[j]))
                             left.append(a), right.append(b)
@@ -228,16 +255,19 @@ def near_duplicates(
     # The sets of all nodes that share a bucket, each from one text that stands for it.
     wanted = nodes.join(crowded.select("node").distinct(), "node").select("node", "doc_id", "text_key")
     same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_key"] == wanted["text_key"])
-    sets = texts.join(wanted, same).select("node", "text").mapInArrow(_sets(shingle), "node binary, shingles array<bigint>")
+    sets = texts.join(wanted, same).select("node", "text").mapInArrow(
+        _sets(shingle), "node binary, shingles array<bigint>, small binary"
+    )
     sets = cut(sets.dropDuplicates(["node"]))  # a repeated row gives its node twice
 
-    links = _Links(nodes, sets, percent)
+    links = _Links(nodes, sets.select("node", "shingles"), percent)
     stars = crowded.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
     linked = links.verified(stars)
     grouped = components(linked)
 
     for best in BEST_ROUNDS:
-        pairs = _blocks(crowded, grouped, nodes).mapInArrow(_pairs_of_blocks(best), "a binary, b binary")
+        blocks = _blocks(crowded, grouped, nodes, sets)
+        pairs = blocks.mapInArrow(_pairs_of_blocks(best, percent), "a binary, b binary")
         more = links.verified(pairs.distinct())
         if not more.isEmpty():
             linked = cut(linked.unionByName(more))

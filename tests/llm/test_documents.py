@@ -72,6 +72,28 @@ def test_large_group_of_near_copies_is_one_component(spark):
     assert got == brute_components(rows, 5)
 
 
+def test_group_just_below_the_threshold_lists_no_pairs(spark, monkeypatch):
+    """Texts of which any two have about 70 per cent in common: blocks must not list them all."""
+    base = own_words("b", 200)
+    rows = []
+    for i in range(240):
+        own = {(i * 37 + j * 11) % 200 for j in range(18)}
+        rows.append((i, " ".join(f"x{i}y{j}" if j in own else w for j, w in enumerate(base))))
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(0, 240, 3)]
+    listed = []
+    verified = minhash._Links.verified
+
+    def counted(self, pairs):
+        listed.append(pairs.count())
+        return verified(self, pairs)
+
+    monkeypatch.setattr(minhash._Links, "verified", counted)
+    told = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1).collect()
+    got = sorted(((r["doc_id"], r["n_shingles"], r["first_id"]) for r in told), key=str)
+    assert got == brute_components(rows, 1)
+    assert sum(listed[1:]) < 4 * len(rows)
+
+
 def test_quality_counts(messy):
     told = {(r["doc_id"], r["n_words"]): r for r in quality.quality_rules(messy).collect()}
     assert len(told) == len({(i, len(WORD.findall(t or ""))) for i, t, *_ in ROWS})
