@@ -104,7 +104,7 @@ def peel(cells: Column, steps: Column, width: int = BASE_WIDTH) -> Column:
                 return F.transform(
                     state["cells"],
                     lambda c, i: F.when(
-                        i == F.get(one["p"], F.floor(i / width).cast("int")) + F.floor(i / width).cast("int") * width,
+                        (i == one["p0"]) | (i == one["p1"]) | (i == one["p2"]),
                         F.struct(
                             (c["n"] - one["n"]).alias("n"),
                             c["k"].bitwiseXOR(one["k"]).alias("k"),
@@ -117,14 +117,14 @@ def peel(cells: Column, steps: Column, width: int = BASE_WIDTH) -> Column:
                 found["n"].alias("n"),
                 found["k"].alias("k"),
                 found["c"].alias("c"),
-                F.array(*[_place(found["k"], j, width) for j in range(3)]).alias("p"),
+                *[(_place(found["k"], j, width) + j * width).alias(f"p{j}") for j in range(3)],
             )
             key = F.array(found["k"])
             return F.struct(
                 let(one, cleared).alias("cells"),
                 F.when(found["n"] > 0, F.concat(state["left"], key)).otherwise(state["left"]).alias("left"),
                 F.when(found["n"] < 0, F.concat(state["right"], key)).otherwise(state["right"]).alias("right"),
-            ).cast(STATE)
+            )
 
         return let(F.get(pure, F.lit(0)), lambda found: F.when(found.isNull(), state).otherwise(without(found)))
 
@@ -224,18 +224,19 @@ def compare_versions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     # One array of three sketches, so that each is made once.
     told = told.withColumn("s", F.transform(F.array("own", "changed", "next_own"), lambda k: sketch(k)))
 
-    def first_try(other: int) -> Column:
-        return peel(subtract(F.get("s", F.lit(0)), F.get("s", F.lit(other))), F.lit(BASE_STEPS))
+    # A step takes out one digest, so sets that differ in size by more cannot come out empty.
+    def first_try(other: int, n_other: str) -> Column:
+        within = F.abs(F.col("n_own") - F.col(n_other)) <= BASE_STEPS
+        return F.when(within, peel(subtract(F.get("s", F.lit(0)), F.get("s", F.lit(other))), F.lit(BASE_STEPS)))
 
     def differing(found: Column) -> Column:
         return F.size(found["left"]) + F.size(found["right"])
 
     sizes = {"n_own": F.size("own"), "n_changed": F.size("changed"), "n_next": F.size("next_own")}
-    told = told.withColumns(
-        sizes
-        | {
-            "d_changed": let(first_try(1), lambda x: F.when(x.isNotNull(), differing(x))),
-            "d_next": let(first_try(2), lambda x: F.when(x.isNotNull(), differing(x))),
+    told = told.withColumns(sizes).withColumns(
+        {
+            "d_changed": let(first_try(1, "n_changed"), lambda x: F.when(x.isNotNull(), differing(x))),
+            "d_next": let(first_try(2, "n_next"), lambda x: F.when(x.isNotNull(), differing(x))),
             "fingerprint": fingerprint(F.get("s", F.lit(0))),
             "edited_fingerprint": fingerprint(F.get("s", F.lit(1))),
         }
