@@ -15,7 +15,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronostrata.session import cut
+from chronostrata.session import cut, sound_unions
 
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 10_000
@@ -63,6 +63,7 @@ def in_order(
     many per key. `cut_by` names how many of the order columns place the cuts (all of them by default): with
     one, rows of one moment stay in one chunk.
     """
+    sound_unions(df.sparkSession)
     keys = (keys,) if isinstance(keys, str) else tuple(keys)
     order = (order,) if isinstance(order, str) else tuple(order)
     if hot_rows is None:

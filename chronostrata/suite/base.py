@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronostrata.session import sound_unions
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -17,7 +20,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            sound_unions(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
