@@ -216,3 +216,23 @@ def audit(ours: MerkleTree, theirs: MerkleTree, fanout: int = FANOUT) -> DataFra
             F.lit("moved").alias("kind"),
         )
     )
+
+
+def moved_records(told: DataFrame, ours: MerkleTree) -> DataFrame:
+    """The report with one row per record, runs of moved ones opened: `key`, `start` and `end` of each, and where it
+    stands on the other side. Damaged records have their own row and no second one.
+
+    A run may span an archive, so it is opened in pieces of at most SLICE_ROWS places that are dealt anew."""
+    names = ["archive", "place", "key", "start", "end", "other_key", "other_start", "other_end", "kind"]
+    shift = (F.col("other_start") - F.col("start")).alias("shift")
+    runs = told.where("kind = 'moved'").select("archive", F.col("place").alias("first"), (F.col("place") + F.col("n_records") - 1).alias("last"), shift)
+    steps = F.explode(F.sequence("first", "last", F.lit(SLICE_ROWS).cast("long"))).alias("at")
+    dealt = runs.select("archive", "last", "shift", steps).repartition("archive", "at")
+    places = dealt.select("archive", "shift", F.explode(F.sequence("at", F.least("last", F.col("at") + SLICE_ROWS - 1))).alias("place"))
+    single = told.where("kind <> 'moved'")
+    moved = ours.levels[0].join(places, ["archive", "place"]).join(
+        single.where("kind = 'damaged'").select("archive", "place"), ["archive", "place"], "left_anti"
+    )
+    to = [(F.col(c) + F.col("shift")).alias(f"other_{c}") for c in ("start", "end")]
+    opened = moved.select("archive", "place", "key", "start", "end", F.col("key").alias("other_key"), *to, F.lit("moved").alias("kind"))
+    return single.select(*names).unionByName(opened)

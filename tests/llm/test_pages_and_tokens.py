@@ -193,6 +193,19 @@ def test_fixity_equals_a_record_by_record_comparison(spark, monkeypatch, keys):
     assert set(told) == want and len(told) == len(want)
 
 
+def test_fixity_report_has_every_moved_record(spark, monkeypatch):
+    monkeypatch.setattr(fixity, "SLICE_ROWS", 50)
+    html = F.concat(F.lit("x"), F.col("id").cast("string"))
+    pages = spark.range(300).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), html.alias("html"))
+    changed = pages.withColumn("html", F.when(F.col("page_id") == 100, F.lit("")).when(F.col("page_id") == 200, F.lit("y200")).otherwise(F.col("html")))
+    ours, theirs = (fixity.merkle_tree(fixity.records(p, F.lit("a")), fanout=4) for p in (pages, changed))
+    told = fixity.moved_records(fixity.audit(ours, theirs, fanout=4), ours).collect()
+    want = [(k, "damaged" if k in (100, 200) else "moved") for k in range(100, 300)]
+    assert sorted((r["key"], r["kind"]) for r in told) == want
+    starts = {r["key"]: (r["start"], r["end"]) for r in theirs.levels[0].collect()}
+    assert all((r["other_start"], r["other_end"]) == starts[r["key"]] for r in told)
+
+
 def test_fixity_of_repeated_rows_and_equal_keys(spark):
     rows = [(1, "u", "same")] * 3 + [(1, "u", "another"), (2, None, None), (2, None, None)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
