@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chronostrata.functions import is_current
 from chronostrata.operators.history import scd2_backfill
 from chronostrata.operators.ordered import HOT_ROWS, in_order, with_next
+from chronostrata.session import cut
 
 SEEN = "seen"
 
@@ -39,6 +40,7 @@ def scd2_merge(
     tie: Sequence[str] = (),
     grain: str = "day",
     hot_rows: int | None = HOT_ROWS,
+    write_once: bool = False,
 ) -> Merged:
     """Splice the version chain of `events` onto `heads`, the last two versions of each key.
 
@@ -53,7 +55,8 @@ def scd2_merge(
     only confirmed a state also fixes what came before it. `late` events are replays, or versions that belong
     inside the history; `streaming.merge` tells them apart and rebuilds the keys.
 
-    The batch is shuffled by key as the history windows need it, and `heads` with it. Closed versions are not read.
+    With `write_once` the chain is written to the shared folder, so that who needs both `current` and `closed` builds it
+    once. The batch is shuffled by key as the history windows need it, and `heads` with it. Closed versions are not read.
     """
     order = seen_at(ts_col, tie)
     # Ahead of the given ties: what is stored comes before what is new.
@@ -77,6 +80,8 @@ def scd2_merge(
     # One row per key: with the daily grain a key has few versions in a batch.
     ordered = in_order(chain, key, "valid_from", None if grain == "day" else hot_rows, counted=rows)
     told = with_next(ordered, {"_next_to": F.struct("valid_to")}).plain()
+    if write_once:
+        told = cut(told)
     # The second last is the one whose next version is open; the open one has no next.
     last_two = F.col("_next_to").isNull() | F.col("_next_to.valid_to").isNull()
     marks = marks.groupBy(key).agg(F.max(SEEN).alias(SEEN))

@@ -46,7 +46,7 @@ def merge_batch(
     # At most one number per bucket reaches the driver.
     touched = [r[BUCKET] for r in events.select(table.bucket().alias(BUCKET)).distinct().collect()]
     heads = table.current(spark, before=number, only=touched)
-    told = scd2_merge(heads, events, key, attrs, ts_col, tie, grain)
+    told = scd2_merge(heads, events, key, attrs, ts_col, tie, grain, write_once=True)
     log = read_part(spark, table.root, LOG, T.StructType([*mine, T.StructField(BUCKET, T.IntegerType())]), before=number)
     # An event the log has is a replay. What is left belongs inside the history.
     first_time = cut(_not_logged(told.late, log, columns))
@@ -58,7 +58,7 @@ def merge_batch(
     keys = first_time.select(key).distinct()
     # Only the buckets of late keys are read from the log.
     whole = log.where(F.col(BUCKET).isin(late_buckets)).select(*columns).unionByName(events.select(*columns))
-    anew = scd2_merge(None, semi(whole, keys, [key]), key, attrs, ts_col, tie, grain)
+    anew = scd2_merge(None, semi(whole, keys, [key]), key, attrs, ts_col, tie, grain, write_once=True)
     current = anti(told.current, keys, [key]).unionByName(anew.current)
     closed = anti(told.closed, keys, [key]).unionByName(anew.closed)
     table.write(number, current, closed, touched, rebuilt=keys)

@@ -152,3 +152,13 @@ def test_first_rows_are_kept_however_late(spark, tmp_path, keys):
     )
     first_seen(root, spark.createDataFrame([], SENT), 9, keys, "ts")
     assert read_events(spark, root, schema).count() == len(kept)
+
+
+def test_the_merged_chain_is_built_once(spark):
+    """Current and closed versions are read from what was written of the chain."""
+    events = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1), 1), (1, "b", dt.datetime(2024, 1, 2), 2), (1, "c", dt.datetime(2024, 1, 3), 3)], "k int, status string, ts timestamp_ntz, n int")
+    merged = scd2_merge(None, events, "k", ["status"], "ts", ["n"], write_once=True)
+    for part in (merged.current, merged.closed):
+        assert "Window" not in part._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.status for r in merged.closed.collect()] == ["a"]
+    assert sorted(r.status for r in merged.current.collect()) == ["b", "c"]
