@@ -268,6 +268,26 @@ def test_fuzzy_passages_with_many_edits(spark):
     assert found <= want and len(found) >= 0.97 * len(want)
 
 
+def test_no_passage_depends_on_which_seeds_are_looked_at(spark):
+    rows, want = [], set()
+    for n in range(400):
+        passage = own_words(f"p{n}x", 55)
+        edited = [f"e{w}" if i % 5 == 4 else w for i, w in enumerate(passage)]
+        rows.append((n, " ".join([*own_words(f"a{n}x", 20), *passage])))
+        rows.append((1000 + n, " ".join([*own_words(f"c{n}x", 30), *edited, *own_words(f"d{n}x", 10)])))
+        want.add((1000 + n, n, 30, 84))
+    told = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_id"], r["start_word"], r["end_word"]) for r in told} == want
+
+
+def test_passages_around_a_short_insertion(spark):
+    a, b = own_words("a", 60), own_words("b", 60)
+    rows = [(1, " ".join([*a, *b])), (2, " ".join([*a, *own_words("new", 50), *b]))]
+    told = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = sorted((r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["other_start"], r["other_end"]) for r in told)
+    assert spans == [(2, 1, 0, 60, 0, 60), (2, 1, 110, 170, 60, 120)]
+
+
 def test_passages_on_odd_rows(messy):
     found = {(r["doc_id"], r["other_id"]) for r in chaining.repeated_passages(messy).collect()}
     assert found == {(2, 1), (8, 1)}
