@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronostrata.session import sound_unions
+from chronostrata.session import sized_shuffles, sound_unions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             sound_unions(spark)
+            sized_shuffles(spark, sf_dir)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

@@ -80,3 +80,20 @@ def test_satellite_join_and_window_share_the_shuffle_of_the_batch(spark):
     text = plan(sat_load(sat, src, "hk", ["a"]))
     # One for the batch, one for the newest stored rows.
     assert count("Exchange", text) == 2
+
+
+def test_shuffles_start_with_as_many_partitions_as_the_tables_need(spark, monkeypatch):
+    from chronostrata import session
+
+    monkeypatch.setattr(session, "INPUT_SHARE", 1 << 15)
+    # Small enough that adaptive execution merges nothing.
+    names = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    for name in names:
+        spark.conf.set(name, "1")
+    try:
+        size = sum(f.stat().st_size for f in Path(SF_DIR).iterdir())
+        assert contract.queries()["mart_daily_sales"](spark, SF_DIR).rdd.getNumPartitions() > size >> 16 > 4
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
