@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronostrata.operators.quality import QualityError, not_null, within_length
 
@@ -52,26 +53,34 @@ def observed(df: DataFrame, constraints: Constraints) -> tuple[DataFrame, Observ
 def key_counts(df: DataFrame, constraints: Constraints, parents: Mapping[str, DataFrame]) -> dict[str, int]:
     """For each key the values held by several rows, for each reference the rows whose value its table lacks."""
 
-    def tagged(rows: DataFrame, n: int, cols: Sequence[str], mine: int) -> DataFrame:
-        value = F.array(*[F.col(c).cast("string") for c in cols])
-        known = rows.dropna(subset=list(cols))
-        return known.select(F.lit(n).alias("n"), value.alias("value"), F.lit(mine).alias("mine"), F.lit(1 - mine).alias("known"))
+    def whole(rows: DataFrame, cols: Sequence[str]) -> bool:
+        return len(cols) == 1 and isinstance(rows.schema[cols[0]].dataType, T.IntegralType)
+
+    def tagged(rows: DataFrame, n: int, cols: Sequence[str], mine: int, number: bool) -> DataFrame:
+        # A whole number stays one; other keys are compared as text.
+        single = F.col(cols[0]) if number else F.lit(None)
+        value = F.lit(None) if number else F.array(*[F.col(c).cast("string") for c in cols])
+        return rows.dropna(subset=list(cols)).select(
+            F.lit(n).alias("n"), single.cast("long").alias("number"), value.cast("array<string>").alias("value"),
+            F.lit(mine).alias("mine"), F.lit(1 - mine).alias("known"),
+        )
 
     parts, names, references = [], [], set()
     keys = {f"unique_{'_'.join(k)}": (k, "true") for k in constraints.unique} | dict(constraints.unique_where)
     for name, (cols, condition) in keys.items():
-        parts.append(tagged(df.where(condition), len(names), cols, 1))
+        parts.append(tagged(df.where(condition), len(names), cols, 1, whole(df, cols)))
         names.append(name)
     for column, (table, parent) in constraints.foreign.items():
         references.add(len(names))
-        parts += [tagged(df, len(names), [column], 1), tagged(parents[table], len(names), [parent], 0)]
+        number = whole(df, [column]) and whole(parents[table], [parent])
+        parts += [tagged(df, len(names), [column], 1, number), tagged(parents[table], len(names), [parent], 0, number)]
         names.append(f"{column}_in_{table}")
     if not parts:
         return {}
     everything = parts[0]
     for part in parts[1:]:
         everything = everything.unionByName(part)
-    met = everything.groupBy("n", "value").agg(F.sum("mine").alias("mine"), F.sum("known").alias("known"))
+    met = everything.groupBy("n", "number", "value").agg(F.sum("mine").alias("mine"), F.sum("known").alias("known"))
     repeated, lost = F.count_if(F.col("mine") > 1), F.sum(F.when(F.col("known") == 0, F.col("mine")).otherwise(0))
     # One row per constraint.
     found = {r["n"]: r for r in met.groupBy("n").agg(repeated.alias("repeated"), lost.alias("lost")).collect()}

@@ -28,13 +28,15 @@ def assign_keys(
 
     Rows are range-partitioned and numbered inside their partition; each partition then adds
     the rows before it. Ranges are cut at quantiles of the order columns, which Spark samples, and
-    there are as many as the rows need, counted first, so a task's share does not grow with the table. An
+    there are as many as the rows need, counted first, so a task's share does not grow with the table. Counting,
+    sampling and sorting read the rows from a cut, so that they are computed once. An
     increment goes on at the greatest key plus one. Where the order does not matter, `hash_keys` needs neither
     a sort nor a cut.
     """
-    n = partitions or max(1, min(MAX_PARTITIONS, ceil(df.count() / rows_per_partition)))
+    rows = df if partitions else cut(df)
+    n = partitions or max(1, min(MAX_PARTITIONS, ceil(rows.count() / rows_per_partition)))
     placed = cut(
-        df.repartitionByRange(n, *order)
+        rows.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
     )

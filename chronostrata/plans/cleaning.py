@@ -1,10 +1,10 @@
 """Staging to the cleaned layer. Rows that break a rule are returned beside the good ones, with
 the reason; nothing is dropped silently and no bad value stops the load. Keys are INT unless
-`key_type` says otherwise."""
+`key_type` says otherwise. `told` counts the rejected rows while the good ones are written."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from chronostrata.functions import (
@@ -27,12 +27,12 @@ def key_rules(*keys: str, kind: str = "int") -> dict[str, Column]:
     return {f"{k}_is_key": is_digits(k) & to_int(k, kind).isNotNull() for k in keys}
 
 
-def clean_orders(staged: DataFrame, key_type: str = "int") -> tuple[DataFrame, DataFrame]:
+def clean_orders(staged: DataFrame, key_type: str = "int", told: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     rules = {
         **key_rules("order_id", "customer_id", kind=key_type),
         "order_date_is_date": to_date_lenient("order_date").isNotNull(),
     }
-    good, bad = split_rejects(staged, rules)
+    good, bad = split_rejects(staged, rules, told)
     typed = good.select(
         to_int("order_id", key_type).alias("order_id"),
         to_date_lenient("order_date").alias("order_date"),
@@ -42,13 +42,13 @@ def clean_orders(staged: DataFrame, key_type: str = "int") -> tuple[DataFrame, D
     return _one_per(typed, "order_id"), bad
 
 
-def clean_items(staged: DataFrame, key_type: str = "int") -> tuple[DataFrame, DataFrame]:
+def clean_items(staged: DataFrame, key_type: str = "int", told: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     rules = {
         **key_rules("order_item_id", "order_id", "product_id", kind=key_type),
         "qty_is_number": is_digits("qty") & to_int("qty").isNotNull(),
         "price_is_decimal": is_decimal("price_at_sale") & to_money("price_at_sale").isNotNull(),
     }
-    good, bad = split_rejects(staged, rules)
+    good, bad = split_rejects(staged, rules, told)
     typed = good.select(
         *[to_int(c, key_type).alias(c) for c in ("order_item_id", "order_id", "product_id")],
         to_int("qty").alias("qty"),
@@ -58,8 +58,8 @@ def clean_items(staged: DataFrame, key_type: str = "int") -> tuple[DataFrame, Da
     return _one_per(typed, "order_item_id"), bad
 
 
-def clean_products(staged: DataFrame, key_type: str = "int") -> tuple[DataFrame, DataFrame]:
-    good, bad = split_rejects(staged, key_rules("product_id", kind=key_type))
+def clean_products(staged: DataFrame, key_type: str = "int", told: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    good, bad = split_rejects(staged, key_rules("product_id", kind=key_type), told)
     typed = good.select(to_int("product_id", key_type).alias("product_id"), F.trim("name").alias("name"), *_meta(good))
     return _one_per(typed, "product_id"), bad
 
@@ -104,14 +104,14 @@ def customer_snapshot(states: DataFrame) -> DataFrame:
     return snapshot_latest(states, "customer_id", F.col("eff_ts"))
 
 
-def clean_status_events(staged: DataFrame, key_type: str = "int") -> tuple[DataFrame, DataFrame]:
+def clean_status_events(staged: DataFrame, key_type: str = "int", told: Observation | None = None) -> tuple[DataFrame, DataFrame]:
     """All status events, one row per (customer, event time); a replay keeps the first load."""
     rules = {
         **key_rules("customer_id", kind=key_type),
         "status_filled": blank_to_null("status").isNotNull(),
         "event_ts_is_time": to_ts("event_ts").isNotNull(),
     }
-    good, bad = split_rejects(staged, rules)
+    good, bad = split_rejects(staged, rules, told)
     typed = good.select(
         to_int("customer_id", key_type).alias("customer_id"),
         blank_to_null("status").alias("status"),

@@ -8,10 +8,10 @@ repeated run gives the same tables. A version counts only if it keeps the table'
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chronostrata import fixed_values as fv
@@ -43,19 +43,34 @@ class Warehouse:
     def read(self, spark: SparkSession, layer: str, name: str) -> DataFrame:
         return read_table(spark, self.path(layer, name))
 
-    def publish(self, df: DataFrame, layer: str, name: str, **parents: DataFrame) -> DataFrame:
+    def publish(
+        self, df: DataFrame, layer: str, name: str, written: Callable[[], None] | None = None, **parents: DataFrame
+    ) -> DataFrame:
         """Write the next version; it counts if it keeps the table's constraints. `parents` are the tables it
-        refers to."""
+        refers to. `written` is called between the write and the check."""
         layout = with_key_type(LAYERS[layer][name], self.key_type)
         laid_out, promises = to_layout(df, layout), CONSTRAINTS.get(name, Constraints())
         counted, told = observed(laid_out, promises)
-        write_version(counted, self.path(layer, name), gate=gate(told, name, promises, parents))
+        check = gate(told, name, promises, parents)
+
+        def judge(rows: DataFrame) -> None:
+            if written:
+                written()
+            check(rows)
+
+        write_version(counted, self.path(layer, name), gate=judge)
         return self.read(df.sparkSession, layer, name)
 
-    def publish_clean(self, name: str, split: tuple[DataFrame, DataFrame]) -> DataFrame:
-        good, bad = split
-        self.reject(bad, name)
-        return self.publish(good, "ods", name)
+    def publish_clean(self, name: str, clean: Callable[..., tuple[DataFrame, DataFrame]], staged: DataFrame) -> DataFrame:
+        """The good rows as the next version, the others among the rejects. The write of the good ones counts the
+        others; where there is none, staging isn't read again for them."""
+        told = Observation()
+        good, bad = clean(staged, self.key_type, told)
+
+        def reject() -> None:
+            self.reject(bad if told.get["rejected"] else bad.limit(0), name)
+
+        return self.publish(good, "ods", name, written=reject)
 
     def reject(self, bad: DataFrame, name: str) -> None:
         write_version(bad, self.path("rejects", name))
@@ -76,9 +91,9 @@ def full_load(
     Consecutive numbers cost the fact a sort of its own; with `hashed_fact_keys` a line's `sale_id` follows from its
     `order_item_id`, without a shuffle, and is the same in every load."""
     spark = staged["orders"].sparkSession
-    orders = at.publish_clean("orders", cleaning.clean_orders(staged["orders"], at.key_type))
-    items = at.publish_clean("order_items", cleaning.clean_items(staged["order_items"], at.key_type))
-    products = at.publish_clean("products", cleaning.clean_products(staged["products"], at.key_type))
+    orders = at.publish_clean("orders", cleaning.clean_orders, staged["orders"])
+    items = at.publish_clean("order_items", cleaning.clean_items, staged["order_items"])
+    products = at.publish_clean("products", cleaning.clean_products, staged["products"])
     states, bad = cleaning.customer_states(staged["customers"], at.key_type)
     at.reject(bad, "customers")
     customers = at.publish(cleaning.customer_snapshot(states), "ods", "customers")
@@ -148,7 +163,7 @@ def customer_increment(staged: DataFrame, at: Warehouse, run_ts: dt.datetime) ->
 
 def status_load(staged: DataFrame, at: Warehouse, run_ts: dt.datetime, as_of: dt.date, dates: DataFrame) -> dict[str, DataFrame]:
     """Status events: staging to cleaned events, full history, daily mart."""
-    events = at.publish_clean("customer_status", cleaning.clean_status_events(staged, at.key_type))
+    events = at.publish_clean("customer_status", cleaning.clean_status_events, staged)
     history = dims.dim_history(
         events, "customer_id", ["status"], "event_ts", ("_load_ts", "_load_id"), "customer_status_sk", run_ts
     )

@@ -142,3 +142,29 @@ def test_value_that_returns_has_one_hash_and_two_versions(spark):
     history = scd2_backfill(states, "customer_id", ["email", "phone", "city"], "eff_ts", ["_load_ts", "_load_id"])
     same = history.groupBy("customer_id", "hashdiff").count().where("count > 1")
     assert same.count() == 1
+
+
+def counted(df):
+    """`df` and a counter of its rows each time they are computed."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def test_rows_are_computed_once_in_a_load(spark, tmp_path):
+    from chronostrata.operators.keys import assign_keys
+
+    orders, seen = counted(spark.createDataFrame([("1", "2024-01-01", "7"), ("2", "2024-01-02", "8")], "order_id string, order_date string, customer_id string"))
+    assert warehouse.Warehouse(str(tmp_path)).publish_clean("orders", cleaning.clean_orders, orders).count() == 2
+    assert seen.value == 2 and spark.read.parquet(f"{tmp_path}/rejects/orders/version=0").count() == 0
+    worse = orders.union(spark.createDataFrame([("x", "2024-01-01", "7")], orders.schema))
+    assert warehouse.Warehouse(str(tmp_path)).publish_clean("orders", cleaning.clean_orders, worse).count() == 2
+    assert [r["reject_reason"] for r in read_table(spark, f"{tmp_path}/rejects/orders").collect()] == ["order_id_is_key"]
+    rows, seen = counted(spark.range(0, 100, 1, 4).select((F.col("id") * 7 % 100).alias("k")))
+    assert {r["k"]: r["n"] for r in assign_keys(rows, ["k"], "n").collect()} == {k: k + 1 for k in range(100)}
+    assert seen.value == 100
