@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -216,6 +217,57 @@ def own_words(name, n):
     return [f"{name}{i}" for i in range(n)]
 
 
+def test_runs_are_the_chains_of_single_matches():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        found = {(int(p), int(p) + int(rng.integers(-1, 2)) * int(rng.integers(0, 30))) for p in rng.integers(40, 300, int(rng.integers(1, 90)))}
+        found |= {(p, p + 7) for p in range(400, 400 + int(rng.integers(0, 40)))}
+        pos, other = (np.array(x) for x in zip(*found, strict=True))
+        told = [[(p + i, q + i) for p, q, n in c for i in range(n - chaining.SEED + 1)] for c in chaining.chain_runs(pos, other)]
+        assert sorted(told) == sorted(chaining.chains(pos, other))
+
+
+def test_open_words_are_all_that_alignments_look_at():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        a = rng.integers(0, 3, int(rng.integers(20, 300))).astype(np.uint64)
+        b = np.where(rng.random(len(a)) < 0.2, np.uint64(9), a)
+        pos = np.flatnonzero([(a[i : i + 4] == b[i : i + 4]).all() for i in range(len(a) - 3)])
+        if len(pos) == 0:
+            continue
+        around, other = chaining._around(a, pos), chaining._around(b, pos)
+        (_, back), (_, on) = chaining._extensions(around, other)
+        kinds = {int(p): int(x) * chaining.BACK + int(y) * chaining.ON for p, x, y in zip(pos, back, on, strict=True)}
+        chains = chaining.chain_runs(pos, pos)
+        runs = np.array([(c, p, q, n, kinds[p] & chaining.BACK | kinds[p + n - 4] & chaining.ON) for c, own in enumerate(chains) for p, q, n in own])
+        low, wanted = chaining._wanted(runs, len(a))
+        known = np.full(len(wanted), 77, np.uint64)
+        known[wanted] = a[low : low + len(wanted)][wanted]
+        for _, p, q, n, _ in runs.tolist():
+            known[p - low : p - low + n] = b[q : q + n]
+        for own in chains:
+            told = chaining.alignments(known, b, [(p - low, q, n) for p, q, n in own])
+            assert [(s + low, e + low, *rest) for s, e, *rest in told] == chaining.alignments(a, b, own)
+
+
+def test_cuts_leave_no_shuffle_behind(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffles()
+    told = chaining.cut(spark.range(1000).repartition(4, "id"))
+    end = time.monotonic() + 30
+    while not shuffles() <= before and time.monotonic() < end:
+        time.sleep(0.2)  # they are deleted in the background
+    assert shuffles() <= before
+    assert told.count() == 1000
+
+
 def test_second_passage_and_inserted_paragraph(spark):
     a, b, long1, long2 = (own_words(x, n) for x, n in (("a", 60), ("b", 60), ("l", 500), ("m", 500)))
     rows = [
