@@ -11,7 +11,7 @@ aggregation ordered by position puts the bytes together. The bytes of a list are
 digests of `encode` decode the ids of each distinct word once; `decode` does it for any list.
 
 Memory of a task: one batch of texts, the remembered words (forgotten above
-`MAX_WORDS`, about 150 MB, which costs time only) and DuckDB's own limit. Nothing is shuffled: rows stay where they are.
+`MAX_WORDS`, about 250 MB, which costs time only) and DuckDB's own limit. Nothing is shuffled: rows stay where they are.
 
 Words above `LONG_WORD` bytes (no blank, one kind of character throughout) would need as many rounds
 as they have tokens, each over the whole word; for these alone the same contraction runs over a
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -39,6 +40,7 @@ from chronostrata.llm.spans import numbered, pieces
 
 LONG_WORD = 256
 MAX_WORDS = 1_000_000
+CONTRACT_BYTES = 2 << 20  # bytes of words in one run of the recursive query
 TEXT_BYTES = 8 << 20  # texts that are looked up and decoded at a time
 # White space as the tokenizer's pattern counts it.
 BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -80,8 +82,10 @@ class Codec:
 
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        # Of a word: its ids as decimal text, a zero byte, and the bytes they decode to.
-        self.words: dict[str, bytes] = {}
+        # Of a word that is a chunk its ids as decimal text, and the bytes they decode to; both of other words.
+        self.ids: dict[str, bytes] = {}
+        self.texts: dict[str, bytes] = {}
+        self.words: dict[str, tuple[bytes, bytes]] = {}
         left, right, rank = [], [], []
         for token, r in self.ranks.items():
             for k in range(1, len(token)):
@@ -140,8 +144,8 @@ class Codec:
                 offer(left[p])
         return np.array([i for i in ids if i >= 0], dtype=np.int32).tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Remembers what new words encode and decode to."""
+    def learn(self, words: list[str]) -> Iterator[tuple[str, bytes, bytes]]:
+        """Of each word its ids as decimal text joined by blanks, and the bytes they decode to."""
         ids: dict[str, bytes] = {}
         todo: list[str] = []
         for w in words:
@@ -152,53 +156,65 @@ class Codec:
                 ids[w] = self.contract_long(data)
             else:
                 todo.append(w)
-        for at in range(0, len(todo), 50_000):
-            part = todo[at : at + 50_000]
-            ids.update(zip(part, self.contract([w.encode() for w in part]), strict=True))
-        texts = self.decode([np.frombuffer(i, dtype=np.int32) for i in ids.values()])
-        for (w, i), text in zip(ids.items(), texts, strict=True):
-            self.words[w] = " ".join(map(str, memoryview(i).cast("i").tolist())).encode() + b"\0" + text
-
-    def looked_up(self, chunks: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
-        """Of each chunk its ids as decimal text, and the bytes they decode to."""
-        # Letters behind at most one blank are one word of the pattern.
-        mixed = {c: self.pattern.findall(c) for c in chunks if not c.removeprefix(" ").isalpha()}
-        words = {w for ws in mixed.values() for w in ws}
-        words.update(c for c in chunks if c not in mixed)
-        if new := words.difference(self.words):
-            if len(self.words) + len(new) > MAX_WORDS:
-                self.words.clear()
-                new = words
-            self.learn(new)
-        ids, texts = {}, {}
-        for w in words:
-            ids[w], _, texts[w] = self.words[w].partition(b"\0")
+        codes = [w.encode() for w in todo]
+        sizes = np.cumsum([len(x) for x in codes]) // CONTRACT_BYTES
+        ends = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(todo)]
+        for a, b in zip(ends[:-1], ends[1:], strict=True):
+            ids.update(zip(todo[a:b], self.contract(codes[a:b]), strict=True))
+        size = np.array([len(i) // 4 for i in ids.values()], dtype=np.int64)
+        flat = np.frombuffer(b"".join(ids.values()), dtype=np.int32)
+        ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        told = pc.binary_join(pa.ListArray.from_arrays(ends, pa.array(flat).cast(pa.string())), " ").cast(pa.binary())
+        yield from zip(ids, told.to_pylist(), self.decode(size, flat), strict=True)
+
+    def look_up(self, chunks: set[str]) -> list[str]:
+        """Has `ids` and `texts` know the chunks; returns those that are there for this call only."""
+        new = chunks.difference(self.ids)
+        # Letters behind at most one blank are one word of the pattern; that word has one encoding wherever it stands.
+        mixed = {c: self.pattern.findall(c) for c in new if not is_plain(c)}
+        parts = {w for ws in mixed.values() for w in ws}
+        plain = {w for w in (*new, *parts) if w not in mixed and is_plain(w)}
+        other = {w for w in parts if not is_plain(w)}
+        todo = plain.difference(self.ids), other.difference(self.words)
+        if len(self.ids) + len(self.words) + len(todo[0]) + len(todo[1]) > MAX_WORDS:
+            self.ids, self.texts, self.words = {}, {}, {}
+            todo = plain.union(c for c in chunks if is_plain(c)), other
+        for w, i, text in self.learn(list(todo[0])):
+            self.ids[w], self.texts[w] = i, text
+        for w, i, text in self.learn(list(todo[1])):
+            self.words[w] = i, text
         for c, ws in mixed.items():
-            if len(ws) > 1:  # a single word is the chunk itself
-                ids[c] = b" ".join([ids[w] for w in ws])
-                texts[c] = b"".join([texts[w] for w in ws])
-        return ids, texts
+            told = [(self.ids[w], self.texts[w]) if is_plain(w) else self.words[w] for w in ws]
+            self.ids[c], self.texts[c] = b" ".join([t[0] for t in told]), b"".join([t[1] for t in told])
+        return list(mixed)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Of each text its ids as decimal text joined by blanks, and the bytes they decode to."""
         cut = [CHUNK.findall(t) for t in texts]
-        ids, decoded = self.looked_up({c for cs in cut for c in cs})
-        one, other = ids.__getitem__, decoded.__getitem__
-        return [(b" ".join(map(one, cs)), b"".join(map(other, cs))) for cs in cut]
-
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        size = np.array([len(i) for i in ids])
-        doc = np.repeat(np.arange(len(ids), dtype=np.int32), size)
+        passing = self.look_up(set().union(*cut))
+        one, other = self.ids.__getitem__, self.texts.__getitem__
+        told = [(b" ".join(map(one, cs)), b"".join(map(other, cs))) for cs in cut]
+        for c in passing:
+            del self.ids[c], self.texts[c]
+        return told
+
+    def decode(self, size: np.ndarray, ids: np.ndarray) -> list[bytes]:
+        """The bytes of lists of ids that have `size` ids each and stand one after another."""
+        doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
         place = np.arange(len(doc), dtype=np.int32)
-        self.con.register("ids_in", pa.table({"d": doc, "p": place, "id": np.concatenate([np.empty(0, np.int32), *ids])}))
+        self.con.register("ids_in", pa.table({"d": doc, "p": place, "id": ids}))
         found = self.con.sql(JOIN_UP).to_arrow_table()
         self.con.unregister("ids_in")
-        out = [b""] * len(ids)
+        out = [b""] * len(size)
         for d, text in zip(found["d"].to_pylist(), found["hex"].to_pylist(), strict=True):
             out[d] = bytes.fromhex(text)
         return out
 
 
+def is_plain(chunk: str) -> bool:
+    return chunk.removeprefix(" ").isalpha()
+
+
 @functools.cache
 def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
@@ -258,7 +274,8 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: str
         own = codec(path, pattern)
         for batch in batches:
             lists = [np.array(x if x is not None else [], dtype=np.int32) for x in batch.column(len(keep)).to_pylist()]
-            texts = [b.decode("utf-8", "replace") for b in own.decode(lists)]
+            size = np.array([len(x) for x in lists], dtype=np.int64)
+            texts = [b.decode("utf-8", "replace") for b in own.decode(size, np.concatenate([np.empty(0, np.int32), *lists]))]
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
 

@@ -104,6 +104,22 @@ def test_bpe_equals_the_library(messy):
         assert decoded == text.encode()
 
 
+def test_bpe_remembers_words_and_not_what_they_make_up(monkeypatch):
+    own = bpe.Codec(PATH, PATTERN)
+    asked = []
+    contract = own.contract
+    monkeypatch.setattr(own, "contract", lambda words: asked.append(list(words)) or contract(words))
+    texts = ["qwrtz, zyxw-qwrtz! vbnmq", "vbnmq qwrtz.", " qwrtz\n\n  zyxw", "vbnmq, zyxw"]
+    first = own.encode(texts)
+    n = len([w for part in asked for w in part])
+    assert [d.decode() for _, d in first] == texts
+    assert own.encode(texts[::-1]) == first[::-1] and own.encode(texts) == first
+    assert len([w for part in asked for w in part]) == n
+    assert all(bpe.is_plain(w) for w in own.ids) and own.ids.keys() == own.texts.keys()
+    monkeypatch.setattr(bpe, "MAX_WORDS", 3)
+    assert [own.encode([t])[0] for t in texts] == first
+
+
 def test_bpe_round_trip_in_spark(messy):
     told = bpe.encode(messy, PATH, PATTERN, digests=True)
     back = bpe.decode(told, PATH, PATTERN, text="again")
