@@ -11,7 +11,8 @@ aggregation ordered by position puts the bytes together. The bytes of a list are
 digests of `encode` decode the ids of each distinct word once; `decode` does it for any list.
 
 Memory of a task: one batch of texts, the remembered words (forgotten above
-`MAX_WORDS`, about 250 MB, which costs time only) and DuckDB's own limit. Nothing is shuffled: rows stay where they are.
+`MAX_WORDS`, about 400 MB, which costs time only) and DuckDB's own limit. What a task's queries leave behind is given back at
+its end, since idle workers stay beside the tasks that follow. Nothing is shuffled: rows stay where they are.
 
 Words above `LONG_WORD` bytes (no blank, one kind of character throughout) would need as many rounds
 as they have tokens, each over the whole word; for these alone the same contraction runs over a
@@ -42,6 +43,7 @@ LONG_WORD = 256
 MAX_WORDS = 1_000_000
 CONTRACT_BYTES = 2 << 20  # bytes of words in one run of the recursive query
 TEXT_BYTES = 8 << 20  # texts that are looked up and decoded at a time
+MOST_MEMORY, REST_MEMORY = "400MB", "32MB"  # DuckDB's limit in a query and between two
 # White space as the tokenizer's pattern counts it.
 BLANKS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 # Chunks end where the pattern has a boundary whatever the letters are.
@@ -82,10 +84,11 @@ class Codec:
 
         self.ranks = read_ranks(path)
         self.pattern = regex.compile(pattern)
-        # Of a word that is a chunk its ids as decimal text, and the bytes they decode to; both of other words.
+        # Of a word that is a chunk its ids as decimal text, and what they decode to (the word itself, not a copy, if
+        # they are equal); both of other words. Bytes that are no UTF-8 stand as surrogates.
         self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, bytes] = {}
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.texts: dict[str, str] = {}
+        self.words: dict[str, tuple[bytes, str]] = {}
         left, right, rank = [], [], []
         for token, r in self.ranks.items():
             for k in range(1, len(token)):
@@ -94,7 +97,7 @@ class Codec:
                     left.append(a), right.append(b), rank.append(r)
         merges = pa.table({"l": pa.array(left, pa.int32()), "r": pa.array(right, pa.int32()), "rank": pa.array(rank, pa.int64())})
         vocab = pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "hex": pa.array([x.hex() for x in self.ranks])})
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": MOST_MEMORY, "temp_directory": ""})
         for name, rows in (("merges", merges), ("vocab", vocab)):
             self.con.register("rows_in", rows)
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM rows_in")
@@ -144,8 +147,8 @@ class Codec:
                 offer(left[p])
         return np.array([i for i in ids if i >= 0], dtype=np.int32).tobytes()
 
-    def learn(self, words: list[str]) -> Iterator[tuple[str, bytes, bytes]]:
-        """Of each word its ids as decimal text joined by blanks, and the bytes they decode to."""
+    def learn(self, words: list[str]) -> Iterator[tuple[str, bytes, str]]:
+        """Of each word its ids as decimal text joined by blanks, and what they decode to."""
         ids: dict[str, bytes] = {}
         todo: list[str] = []
         for w in words:
@@ -165,7 +168,9 @@ class Codec:
         flat = np.frombuffer(b"".join(ids.values()), dtype=np.int32)
         ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         told = pc.binary_join(pa.ListArray.from_arrays(ends, pa.array(flat).cast(pa.string())), " ").cast(pa.binary())
-        yield from zip(ids, told.to_pylist(), self.decode(size, flat), strict=True)
+        texts = (b.decode("utf-8", "surrogateescape") for b in self.decode(size, flat))
+        for w, i, text in zip(ids, told.to_pylist(), texts, strict=True):
+            yield w, i, w if text == w else text
 
     def look_up(self, chunks: set[str]) -> list[str]:
         """Has `ids` and `texts` know the chunks; returns those that are there for this call only."""
@@ -185,7 +190,7 @@ class Codec:
             self.words[w] = i, text
         for c, ws in mixed.items():
             told = [(self.ids[w], self.texts[w]) if is_plain(w) else self.words[w] for w in ws]
-            self.ids[c], self.texts[c] = b" ".join([t[0] for t in told]), b"".join([t[1] for t in told])
+            self.ids[c], self.texts[c] = b" ".join([t[0] for t in told]), "".join([t[1] for t in told])
         return list(mixed)
 
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
@@ -193,11 +198,18 @@ class Codec:
         cut = [CHUNK.findall(t) for t in texts]
         passing = self.look_up(set().union(*cut))
         one, other = self.ids.__getitem__, self.texts.__getitem__
-        told = [(b" ".join(map(one, cs)), b"".join(map(other, cs))) for cs in cut]
+        told = [(b" ".join(map(one, cs)), "".join(map(other, cs)).encode("utf-8", "surrogateescape")) for cs in cut]
         for c in passing:
             del self.ids[c], self.texts[c]
         return told
 
+    def rest(self) -> None:
+        """Gives back what queries and batches have left: DuckDB and Arrow keep it, also while the worker is idle,
+        and DuckDB parts with it when its limit falls."""
+        for limit in (REST_MEMORY, MOST_MEMORY):
+            self.con.execute(f"SET memory_limit = '{limit}'")
+        pa.default_memory_pool().release_unused()
+
     def decode(self, size: np.ndarray, ids: np.ndarray) -> list[bytes]:
         """The bytes of lists of ids that have `size` ids each and stand one after another."""
         doc = np.repeat(np.arange(len(size), dtype=np.int32), size)
@@ -261,6 +273,7 @@ def encode(
                 columns.append(pa.array([hashlib.sha256(t[0]).hexdigest() for t in told]))
                 columns.append(pa.array([hashlib.sha256(t[1]).hexdigest() for t in told]))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        own.rest()
 
     return numbered(docs, [*keep, text]).mapInArrow(run, schema)
 
@@ -278,5 +291,6 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids", text: str
             texts = [b.decode("utf-8", "replace") for b in own.decode(size, np.concatenate([np.empty(0, np.int32), *lists]))]
             columns = [batch.column(i) for i in range(len(keep))]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=schema.names)
+        own.rest()
 
     return numbered(rows, [*keep, ids]).mapInArrow(run, schema)

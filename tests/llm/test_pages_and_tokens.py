@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import public_tokenizers
@@ -120,6 +123,32 @@ def test_bpe_remembers_words_and_not_what_they_make_up(monkeypatch):
     assert [own.encode([t])[0] for t in texts] == first
 
 
+AT_REST = """
+import random, re, pathlib
+from chronostrata.llm import bpe
+
+def held():
+    told = pathlib.Path("/proc/self/smaps_rollup").read_text()
+    return sum(map(int, re.findall(r"Pss_Anon: *([0-9]+)", told))) / 1024
+
+own = bpe.codec({path!r}, {pattern!r})
+rng = random.Random(1)
+words = ["".join(rng.choices("etaoinshrdlucmfw", k=8)) for _ in range(150_000)]
+before = held()
+own.encode([" ".join(words[i : i + 100]) for i in range(0, len(words), 100)])
+getattr(own, "rest", lambda: None)()
+print(held() - before)
+assert all(own.texts[w] is w for w in own.texts)
+"""
+
+
+def test_bpe_worker_at_rest_keeps_its_words_only():
+    code = AT_REST.format(path=PATH, pattern=PATTERN)
+    told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=Path(bpe.__file__).parents[2])
+    assert told.returncode == 0, told.stderr
+    assert float(told.stdout.split()[-1]) < 75
+
+
 def test_bpe_round_trip_in_spark(messy):
     told = bpe.encode(messy, PATH, PATTERN, digests=True)
     back = bpe.decode(told, PATH, PATTERN, text="again")
