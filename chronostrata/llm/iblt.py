@@ -38,7 +38,7 @@ QUANTILES = 64
 
 CELL = "struct<n:int,k:bigint,c:bigint>"
 CELLS = f"array<{CELL}>"
-STATE = f"struct<cells:{CELLS},left:array<bigint>,right:array<bigint>>"
+STATE = f"struct<cells:{CELLS},left:array<bigint>,right:array<bigint>,over:boolean>"
 
 
 def digests(text: Column) -> Column:
@@ -55,31 +55,39 @@ def _place(key: Column, third: int, width: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(third * 1000 + width)), F.lit(width)).cast("int")
 
 
-def sketch(keys: Column, width: int = BASE_WIDTH) -> Column:
-    """Cells of a set of digests: three thirds of `width` cells."""
-    entries = F.transform(
+def _entries(keys: Column, width: int, n: int = 1) -> Column:
+    """Each digest as its cells count it: `n` times, with its check and its places in the three thirds."""
+    return F.transform(
         keys,
         lambda x: F.struct(
-            x.alias("k"), _check(x).alias("c"), *[_place(x, j, width).alias(f"p{j}") for j in range(3)]
+            F.lit(n).alias("n"), x.alias("k"), _check(x).alias("c"), *[_place(x, j, width).alias(f"p{j}") for j in range(3)]
         ),
     )
+
+
+def _added(cell: Column, one: Column) -> Column:
+    return F.struct(
+        (cell["n"] + one["n"]).alias("n"), cell["k"].bitwiseXOR(one["k"]).alias("k"), cell["c"].bitwiseXOR(one["c"]).alias("c")
+    )
+
+
+def _cells(entries: Column, width: int) -> Column:
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c"))
 
     def third(e: Column, j: int) -> Column:
         def cell(i: Column) -> Column:
-            return F.aggregate(
-                F.filter(e, lambda x: x[f"p{j}"] == i),
-                zero,
-                lambda s, x: F.struct(
-                    (s["n"] + 1).alias("n"), s["k"].bitwiseXOR(x["k"]).alias("k"), s["c"].bitwiseXOR(x["c"]).alias("c")
-                ),
-            )
+            return F.aggregate(F.filter(e, lambda x: x[f"p{j}"] == i), zero, _added)
 
         return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), cell)
 
     return let(entries, lambda e: F.concat(*[third(e, j) for j in range(3)]))
 
 
+def sketch(keys: Column, width: int = BASE_WIDTH) -> Column:
+    """Cells of a set of digests: three thirds of `width` cells."""
+    return _cells(_entries(keys, width), width)
+
+
 def subtract(a: Column, b: Column) -> Column:
     return F.zip_with(
         a,
@@ -91,42 +99,44 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def peel(cells: Column, steps: Column, width: int = BASE_WIDTH) -> Column:
-    """(left, right): digests only the first or only the second version has; null if peeling gets stuck."""
+    """(left, right): digests only the first or only the second version has; null if peeling gets stuck.
+
+    A step takes out the digests of all cells that hold one digest; steps after the last such cell do nothing."""
     start = F.struct(
-        cells.alias("cells"), F.array().cast("array<bigint>").alias("left"), F.array().cast("array<bigint>").alias("right")
+        cells.alias("cells"),
+        F.array().cast("array<bigint>").alias("left"),
+        F.array().cast("array<bigint>").alias("right"),
+        F.lit(False).alias("over"),
     ).cast(STATE)
 
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == _check(c["k"])))
 
         def without(found: Column) -> Column:
-            def cleared(one: Column) -> Column:
+            def gone(x: Column) -> Column:
+                at = F.array(*[_place(x["k"], j, width) + j * width for j in range(3)])
+                return F.struct((-x["n"]).alias("n"), x["k"].alias("k"), x["c"].alias("c"), at.alias("at"))
+
+            def cleared(ones: Column) -> Column:
                 return F.transform(
                     state["cells"],
-                    lambda c, i: F.when(
-                        (i == one["p0"]) | (i == one["p1"]) | (i == one["p2"]),
-                        F.struct(
-                            (c["n"] - one["n"]).alias("n"),
-                            c["k"].bitwiseXOR(one["k"]).alias("k"),
-                            c["c"].bitwiseXOR(one["c"]).alias("c"),
-                        ),
-                    ).otherwise(c),
+                    lambda c, i: F.aggregate(ones, c, lambda s, x: F.when(F.array_contains(x["at"], i), _added(s, x)).otherwise(s)),
                 )
 
-            one = F.struct(
-                found["n"].alias("n"),
-                found["k"].alias("k"),
-                found["c"].alias("c"),
-                *[(_place(found["k"], j, width) + j * width).alias(f"p{j}") for j in range(3)],
-            )
-            key = F.array(found["k"])
+            def side(n: int) -> Column:
+                return F.transform(F.filter(found, lambda x: x["n"] == n), lambda x: x["k"])
+
             return F.struct(
-                let(one, cleared).alias("cells"),
-                F.when(found["n"] > 0, F.concat(state["left"], key)).otherwise(state["left"]).alias("left"),
-                F.when(found["n"] < 0, F.concat(state["right"], key)).otherwise(state["right"]).alias("right"),
+                let(F.transform(found, gone), cleared).alias("cells"),
+                F.concat(state["left"], side(1)).alias("left"),
+                F.concat(state["right"], side(-1)).alias("right"),
+                F.lit(False).alias("over"),
             )
 
-        return let(F.get(pure, F.lit(0)), lambda found: F.when(found.isNull(), state).otherwise(without(found)))
+        over = F.struct(state["cells"].alias("cells"), state["left"].alias("left"), state["right"].alias("right"), F.lit(True).alias("over"))
+        # A digest may be alone in up to three cells, which are equal then.
+        taken = let(F.array_distinct(pure), lambda found: F.when(F.size(found) == 0, over).otherwise(without(found)))
+        return F.when(state["over"], state).otherwise(taken)
 
     def finish(state: Column) -> Column:
         empty = F.forall(state["cells"], lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0))
@@ -137,9 +147,11 @@ def peel(cells: Column, steps: Column, width: int = BASE_WIDTH) -> Column:
 
 
 def difference(a: Column, b: Column) -> Column:
-    """(left, right) of two small sets of digests: sketches of growing width, until one peels."""
+    """(left, right) of two small sets of digests: sketches of growing width, until one peels.
+
+    What the second set adds is counted negative as it comes in, which gives the difference of the two sketches."""
     steps = F.size(a) + F.size(b)
-    tries = [peel(subtract(sketch(a, w), sketch(b, w)), steps, w) for w in WIDTHS]
+    tries = [peel(_cells(F.concat(_entries(a, w), _entries(b, w, -1)), w), steps, w) for w in WIDTHS]
     plain = F.struct(F.array_except(a, b).alias("left"), F.array_except(b, a).alias("right"))
     return F.coalesce(*tries, plain)
 

@@ -540,6 +540,14 @@ def test_iblt_recovers_the_digests(spark):
     assert sorted(left) == list(range(100, 110)) and sorted(right) == [140, 141, 142]
 
 
+def test_iblt_step_takes_out_all_digests_that_are_alone(spark):
+    df = spark.sql("select array(11L, 22L, 33L) as a, array(22L, 44L, 55L) as b")
+    cells = iblt.subtract(iblt.sketch(F.col("a")), iblt.sketch(F.col("b")))
+    for steps in (2, 14):
+        told = df.select(iblt.peel(cells, F.lit(steps)).alias("p")).first()["p"]
+        assert (sorted(told["left"]), sorted(told["right"])) == ([11, 33], [44, 55])
+
+
 def test_empty_tables(messy):
     none = messy.where("false")
     assert minhash.near_duplicates(none).count() == 0
