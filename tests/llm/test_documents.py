@@ -320,6 +320,26 @@ def test_fuzzy_passages_with_many_edits(spark):
     assert found <= want and len(found) >= 0.97 * len(want)
 
 
+def test_shared_seeds_are_told_to_their_texts_in_four_bytes():
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 6, 80)) for _ in range(8)]
+    batch = pa.record_batch({"place": pa.array(range(8), pa.int64()), "text": pa.array(texts)})
+    held = pa.Table.from_batches(list(chaining._held(iter([batch]))))
+    both = pa.concat_tables(chaining._held_twice(held.filter(pc.equal(held["bucket"], b))) for b in held["bucket"].unique())
+    assert both.schema.field("name").type == pa.int32()
+    own = [both.filter(pc.equal(both["place"], i))["name"].to_pylist() for i in range(8)]
+    names = pa.record_batch({"place": batch["place"], "text": batch["text"], "names": pa.array(own, pa.list_(pa.int32()))})
+    found = pa.Table.from_batches(list(chaining._seeds(iter([names]))))
+    words = [t.split() for t in texts]
+    grams = [[tuple(w[p : p + chaining.SEED]) for p in range(len(w) - chaining.SEED + 1)] for w in words]
+    shared = {(i, p) for i, g in enumerate(grams) for p, x in enumerate(g) if any(x in o for j, o in enumerate(grams) if j != i)}
+    assert set(zip(found["place"].to_pylist(), found["pos"].to_pylist(), strict=True)) == shared and shared
+
+
 def test_no_passage_depends_on_which_seeds_are_looked_at(spark):
     rows, want = [], set()
     for n in range(400):
