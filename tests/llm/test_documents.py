@@ -292,6 +292,56 @@ def test_passage_whose_seeds_have_other_holders(spark):
     assert found == {(200, 100, 0, 60, 30)}
 
 
+def crowded_rows():
+    """A passage with a changed word in every six; each four words of it stand in texts before and between as well."""
+    passage = own_words("p", 60)
+    edited = [f"e{w}" if i % 6 == 5 else w for i, w in enumerate(passage)]
+    chance = [" ".join(passage[i : i + chaining.SEED]) for i in range(60 - chaining.SEED + 1)]
+    rows = [(i, t) for i, t in enumerate(chance)] + [(101 + i, t + " etc") for i, t in enumerate(chance)]
+    rows += [(100, " ".join([*own_words("x", 30), *passage, *own_words("y", 20)])), (200, " ".join([*own_words("v", 9), *edited, *own_words("z", 40)]))]
+    return rows
+
+
+def test_all_holders_of_a_seed_are_compared(spark):
+    told = chaining.repeated_passages(spark.createDataFrame(crowded_rows(), "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["other_id"], r["start_word"], r["end_word"], r["other_start"]) for r in told}
+    assert found == {(200, 100, 9, 68, 30)}
+
+
+def test_second_round_finds_what_all_pairs_tell():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    for _ in range(40):
+        passage = [f"w{x}" for x in rng.integers(0, 3000, 60)]
+        texts = []
+        for _ in range(6):
+            edited = [f"x{rng.integers(0, 1 << 40)}" if rng.random() < 0.1 else w for w in passage]
+            texts.append(" ".join([f"w{x}" for x in rng.integers(0, 3000, 20)] + edited + [f"w{x}" for x in rng.integers(0, 3000, 20)]))
+        words = [chaining.word_hashes(pa.array([t]), lower=True)[0] for t in texts]
+        names = [np.unique(chaining._short(chaining._names(chaining.all_seeds(w)))).tolist() for w in words]
+        # What the first round covers for certain: all 15 words that an earlier text has too.
+        grams = [chaining.shingle_hashes(w, chaining.MIN_PART).tolist() for w in words]
+        spans = [[{"start": p, "end": p + chaining.MIN_PART} for p, g in enumerate(own) if any(g in o for o in grams[:i])] for i, own in enumerate(grams)]
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        columns = [pa.array(range(6), pa.int64()), pa.array(texts), pa.array(names, pa.list_(pa.int32())), pa.array(spans, kind)]
+        rows = pa.Table.from_batches(list(chaining._open(iter([pa.RecordBatch.from_arrays(columns, names=["place", "text", "names", "spans"])]))))
+        rows = rows.sort_by([("seed", "ascending"), ("nth", "ascending"), ("place", "ascending")])
+        met = [r for b in chaining._meeting(iter(rows.to_batches(max_chunksize=50))) for r in b.to_pylist()]
+        ends = {(r["place"], r["lplace"]) for r in met if chaining._goes_beyond(words[r["place"]], words[r["lplace"]], r["pos"], r["lpos"], r["again"])}
+        for i, w in enumerate(words):
+            all_of, known = (np.zeros(len(w), bool) for _ in range(2))
+            for x in spans[i]:
+                known[x["start"] : x["end"]] = True
+            for j in range(i):
+                for s, e, *_ in chaining._all_alignments(w, words[j]):
+                    all_of[s:e] = True
+                    if (i, j) in ends:
+                        known[s:e] = True
+            assert not (all_of & ~known).any()
+
+
 def test_single_seed_with_an_alignment_is_kept():
     import numpy as np
 
