@@ -308,6 +308,16 @@ def test_all_holders_of_a_seed_are_compared(spark):
     assert found == {(200, 100, 9, 68, 30)}
 
 
+def test_pipeline_drops_passages_of_any_holder(spark):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in crowded_rows()], "doc_id long, text string, n_chars long")
+    left = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.substring_dedup(spark, docs, "").collect()}
+    rest = " ".join(own_words("v", 9)), " ".join(own_words("z", 40))
+    assert " ".join(left[200][0].split()) == f"{rest[0]} e{own_words('p', 60)[59]} {rest[1]}" and left[200][1] == len(left[200][0])
+    assert {i: t for i, (t, _) in left.items() if i != 200} == {i: t for i, t in crowded_rows() if i != 200}
+
+
 def test_second_round_finds_what_all_pairs_tell():
     import numpy as np
     import pyarrow as pa
